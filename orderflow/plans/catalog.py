@@ -106,8 +106,7 @@ def items_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staging_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing written as CSV, read back and landed as Parquet."""
     path = workspace(spark, "listing-csv")
-    csv = sample_tables.listing(spark, sf_dir).write.option("header", True)
-    csv.option("quote", '"').option("escape", '"').csv(path)
+    files.write_listing(sample_tables.listing(spark, sf_dir), path)
     return land(files.read_listing(spark, path), workspace(spark, "staging"))
 
 

@@ -22,7 +22,7 @@ _ORDERS = (
 priced AS (
     SELECT *,
         CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price,
-        list_transform(range(1, l_linenumber + 1),
+        list_transform(range(1, least(l_linenumber, 7) + 1),
                        lambda i: 1 + (CAST(l_quantity AS INTEGER) + i) % 4) AS quantities
     FROM lines
 ),
@@ -50,11 +50,11 @@ orders_v AS (
     FROM totals
 ),
 numbered AS (
-    SELECT *, unnest(range(1, l_linenumber + 1)) AS i FROM orders_v
+    SELECT *, unnest(range(1, least(l_linenumber, 7) + 1)) AS i FROM orders_v
 ),
 items_v AS (
     SELECT order_id, restaurant_city,
-        p_name || ' ' || ['curry', 'naan', 'rice', 'tea', 'kebab', 'paratha', 'juice'][(i - 1) % 7 + 1]
+        p_name || ' ' || ['curry', 'naan', 'rice', 'tea', 'kebab', 'paratha', 'juice'][i]
             AS food_item,
         p_type AS category, CAST(unit_price AS DOUBLE) AS unit_price,
         CAST(quantities[i] AS INTEGER) AS quantity
@@ -76,9 +76,9 @@ texts AS (
         || '","request_online":' || CAST(request_online AS VARCHAR)
         || ',"request_table":' || CAST(request_table AS VARCHAR)
         || ',"order_time":"' || order_time || '","items":['
-        || array_to_string(list_transform(range(1, l_linenumber + 1), lambda i:
+        || array_to_string(list_transform(range(1, least(l_linenumber, 7) + 1), lambda i:
             '{"food_item":"' || p_name || ' '
-            || ['curry', 'naan', 'rice', 'tea', 'kebab', 'paratha', 'juice'][(i - 1) % 7 + 1]
+            || ['curry', 'naan', 'rice', 'tea', 'kebab', 'paratha', 'juice'][i]
             || '","category":"' || p_type || '","unit_price":' || unit_price
             || ',"quantity":' || quantities[i] || '}'), ',')
         || '],"order_price":' || order_price || ',"device":"web"}' AS text
@@ -409,8 +409,18 @@ def oracle_sql() -> dict[str, str]:
             FROM items_v GROUP BY food_item""",
         ),
         "orders_json_scan": _with(
-            _MESSAGES,
-            "SELECT 1",
+            _MESSAGES
+            + """,
+            scanned AS (SELECT *, l_orderkey % 211 = 7 AS is_cut,
+                reason IS NOT DISTINCT FROM 'BAD_FIELD_TYPE' AS is_mistyped FROM messages)""",
+            """SELECT CASE WHEN NOT is_cut THEN order_id END AS order_id,
+                CASE WHEN NOT is_cut THEN restaurant_id END AS restaurant_id,
+                CASE WHEN NOT is_cut THEN restaurant_city END AS restaurant_city,
+                CASE WHEN NOT is_cut AND NOT is_mistyped THEN request_online END AS request_online,
+                CASE WHEN NOT is_cut THEN CAST(order_price AS DOUBLE) END AS order_price,
+                CASE WHEN NOT is_cut THEN CAST(len(quantities) AS INTEGER) END AS item_count,
+                is_cut OR is_mistyped AS is_corrupt
+            FROM scanned""",
         ),
         "staging_scan": _with(
             _LISTING,

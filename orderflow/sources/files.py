@@ -51,6 +51,12 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LISTING).options(**_CSV).csv(path)
 
 
+def write_listing(listing: DataFrame, path: str) -> None:
+    """The listing as CSV files that :func:`read_listing` reads back unchanged."""
+    keep_blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    listing.write.options(**_CSV, **keep_blanks).csv(path)
+
+
 def read_listing_by_header(spark: SparkSession, path: str) -> DataFrame:
     """Restaurant listing by header name, in any column order, all text."""
     found = spark.read.options(**_CSV).csv(path)

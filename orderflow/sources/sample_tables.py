@@ -33,18 +33,23 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _order_columns(lines: DataFrame) -> DataFrame:
-    """Order fields with exact decimal prices."""
-    courses = ", ".join(f"'{course}'" for course in COURSES)
-    units = "aggregate(quantities, 0, (total, quantity) -> total + quantity)"
+def _order_columns(lines: DataFrame, price: str) -> DataFrame:
+    """Order fields, with prices computed exactly and given as type ``price``.
+
+    A line item with line number n orders the first n dishes.
+    """
+    dishes = range(1, len(COURSES) + 1)
+    count = f"least(l_linenumber, {len(COURSES)})"
+    quantity = [f"(1 + (cast(l_quantity as int) + {i}) % 4)" for i in dishes]
+    units = " + ".join(f"if({i} <= {count}, {quantity[i - 1]}, 0)" for i in dishes)
+    items = ", ".join(
+        f"""struct(concat(p_name, ' {COURSES[i - 1]}') as food_item, p_type as category,
+                   cast(unit_price as {price}) as unit_price, {quantity[i - 1]} as quantity)"""
+        for i in dishes
+    )
     return (
-        lines.selectExpr(
-            "*",
-            "cast(p_retailprice as decimal(10,2)) as unit_price",
-            """transform(sequence(1, l_linenumber),
-                         i -> 1 + (cast(l_quantity as int) + i) % 4) as quantities""",
-        )
-        .withColumn("total", F.expr(f"cast(unit_price * {units} as decimal(18,2))"))
+        lines.withColumn("unit_price", F.expr("cast(p_retailprice as decimal(10,2))"))
+        .withColumn("total", F.expr(f"cast(unit_price * ({units}) as decimal(18,2))"))
         .selectExpr(
             "l_orderkey",
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey) as order_id",
@@ -59,24 +64,18 @@ def _order_columns(lines: DataFrame) -> DataFrame:
             "l_returnflag <> 'R' or l_orderkey % 100 = 4 as request_online",
             "l_returnflag = 'R' or l_orderkey % 100 = 4 as request_table",
             "concat(replace(cast(l_shipdate as string), ' ', 'T'), 'Z') as order_time",
-            f"""transform(quantities, (quantity, i) -> struct(
-                    concat(p_name, ' ', array({courses})[i % {len(COURSES)}]) as food_item,
-                    p_type as category, unit_price, quantity)) as items""",
-            """cast(case when l_orderkey % 33 <> 0 then total
-                         when l_linenumber % 3 = 0 then total * 1.25
-                         when l_linenumber % 3 = 1 then -total
-                         else total * 50 end as decimal(18,2)) as order_price""",
+            f"slice(array({items}), 1, {count}) as items",
+            f"""cast(cast(case when l_orderkey % 33 <> 0 then total
+                              when l_linenumber % 3 = 0 then total * 1.25
+                              when l_linenumber % 3 = 1 then -total
+                              else total * 50 end as decimal(18,2)) as {price}) as order_price""",
         )
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order history in the shape of the order schema."""
-    exact = _order_columns(_lines(spark, sf_dir)).drop("l_orderkey")
-    item = "struct(i.food_item, i.category, cast(i.unit_price as double) as unit_price, i.quantity)"
-    return exact.withColumn("items", F.expr(f"transform(items, i -> {item})")).withColumn(
-        "order_price", F.col("order_price").cast("double")
-    )
+    return _order_columns(_lines(spark, sf_dir), "double").drop("l_orderkey")
 
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +83,7 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The messages carry a field the order schema does not know.
     """
-    exact = _order_columns(_lines(spark, sf_dir))
+    exact = _order_columns(_lines(spark, sf_dir), "decimal(18,2)")
     fields = [name for name in exact.columns if name != "l_orderkey"]
     text = exact.select(
         "l_orderkey",
