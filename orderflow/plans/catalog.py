@@ -53,7 +53,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items.resolve_items(_orders(spark, sf_dir))
+    return items.resolve_items(sample_tables.orders(spark, sf_dir, costly=True))
 
 
 def _timed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,15 +65,25 @@ def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.check_messages(sample_tables.order_messages(spark, sf_dir))
 
 
+def _listing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = normalize.listing_keys(sample_tables.listing(spark, sf_dir))
+    return land(keys, workspace(spark, "listing-keys"))
+
+
 def _restaurant_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    staging = sample_tables.listing(spark, sf_dir)
-    restaurant_table = normalize.restaurants(staging)
-    metric_table = normalize.metrics(staging, restaurant_table)
-    return metric_table, restaurant_table, normalize.locations(staging)
+    """Metrics, restaurants and locations of the listing."""
+    keys = _listing_keys(spark, sf_dir)
+    restaurant_table = normalize.restaurants(keys)
+    staging = sample_tables.listing(spark, sf_dir, costly=True)
+    return (
+        normalize.metrics(staging, restaurant_table),
+        restaurant_table,
+        normalize.locations(keys),
+    )
 
 
-def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimension.restaurant_dimension(sample_tables.listing(spark, sf_dir))
+def _dimension(spark: SparkSession, sf_dir: str, costly: bool = True) -> DataFrame:
+    return dimension.restaurant_dimension(sample_tables.listing(spark, sf_dir, costly))
 
 
 # --- queries -----------------------------------------------------------------
@@ -96,7 +106,7 @@ def orders_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items.explode_items(_orders(spark, sf_dir)).select("order_id", "item.*")
+    return items.explode_items(sample_tables.orders(spark, sf_dir, costly=True)).select("order_id", "item.*")
 
 
 def items_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +116,7 @@ def items_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staging_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing written as CSV, read back and landed as Parquet."""
     path = workspace(spark, "listing-csv")
-    files.write_listing(sample_tables.listing(spark, sf_dir), path)
+    files.write_listing(sample_tables.listing(spark, sf_dir, costly=True), path)
     return land(files.read_listing(spark, path), workspace(spark, "staging"))
 
 
@@ -115,9 +125,9 @@ def normalize_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = sample_tables.listing(spark, sf_dir)
-    location_table = normalize.locations(staging)
-    return normalize.restaurants(staging, location_table).join(location_table, "location_id")
+    keys = _listing_keys(spark, sf_dir)
+    location_table = normalize.locations(keys)
+    return normalize.restaurants(keys, location_table).join(location_table, "location_id")
 
 
 def normalize_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +135,7 @@ def normalize_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_metrics_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.metrics(sample_tables.listing(spark, sf_dir), match="exact")
+    return normalize.metrics(sample_tables.listing(spark, sf_dir, costly=True), match="exact")
 
 
 def locations_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +190,7 @@ def validate_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City revenue of the valid orders only."""
-    return history.city_revenue(validate.only_valid(_orders(spark, sf_dir)))
+    return history.city_revenue(validate.only_valid(sample_tables.orders(spark, sf_dir, costly=True)))
 
 
 def validate_stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,7 +302,7 @@ def _registered() -> dict[str, Query]:
         "fraud_alerts_stream": fraud_alerts_stream,
         # restaurant dimension
         "restaurant_dimension": restaurant_dimension,
-        "restaurants_by_city": lambda s, d: dimension.restaurants_by_city(_dimension(s, d)),
+        "restaurants_by_city": lambda s, d: dimension.restaurants_by_city(_dimension(s, d, costly=False)),
         "popularity_rank": popularity_rank,
     }
 

@@ -78,8 +78,9 @@ def load_listing(
 
     if run_id in published_runs(spark, root):
         raise ValueError(f"run {run_id!r} is already published")
-    locations = add("locations", normalize.locations(staging))
-    restaurants = add("restaurants", normalize.restaurants(staging, locations))
+    keys = land(normalize.listing_keys(staging), f"{root}/run={run_id}/listing_keys")
+    locations = add("locations", normalize.locations(keys))
+    restaurants = add("restaurants", normalize.restaurants(keys, locations))
     add("metrics", normalize.metrics(staging, restaurants, match))
     published = spark.createDataFrame([(run_id,)], _PUBLISHED)
     published.coalesce(1).write.mode("append").json(f"{root}/published")
