@@ -136,7 +136,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("csv")
     sub.add_argument("root", help="folder of the tables")
     sub.add_argument("run_id", help="name of this load")
-    sub.add_argument("--match", choices=["reference", "exact"], default="reference")
+    sub.add_argument("--match", choices=["venue", "exact"], default="venue")
 
     sub = command("reports", run_reports)
     sub.add_argument("root")

@@ -57,7 +57,7 @@ def _rows_of(summary: DataFrame, names: list[str]) -> DataFrame:
 def load_audit(staging: DataFrame) -> DataFrame:
     """Row counts of each load step, and of values the load could not read.
 
-    The metric rows of the ``reference`` match are counted without the join:
+    The metric rows of the ``venue`` match are counted without the join:
     a venue's listing rows times its phones.
     """
     checks = _row_checks()

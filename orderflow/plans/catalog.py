@@ -236,9 +236,8 @@ def fraud_alert_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fraud_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of a streaming query over order messages, last state of each."""
     schema = sample_tables.table(spark, sf_dir, "events").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    # As a pattern, the path may be one file as well as a folder of files.
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events.parquet}}")
     orders = sample_tables.event_orders(events)
     messages = orders.select(
         F.col("order_id").alias("key"), F.to_json(F.struct("*")).alias("value")

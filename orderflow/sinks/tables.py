@@ -53,7 +53,7 @@ class LoadResult:
 
 
 def load_listing(
-    staging: DataFrame, root: str, run_id: str, match: str = "reference"
+    staging: DataFrame, root: str, run_id: str, match: str = "venue"
 ) -> LoadResult:
     """Normalise a landed listing and add what is new to the three tables.
 

@@ -5,11 +5,13 @@ import io
 import re
 
 import pytest
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from orderflow.operators import history, items, normalize
 from orderflow.plans import restaurant_reports as reports
+from orderflow.sinks.workspace import workspace
 
 QUERIES = contract.queries()
 
@@ -92,13 +94,13 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir, partitions):
 
 def test_one_restaurant_with_a_third_of_all_rows(spark, listing):
     """Results on a lopsided listing equal plain sums."""
-    rows = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("venue"), "id"
-    )
-    staging = listing({}).crossJoin(F.broadcast(rows)).select(
-        *[c for c in listing({}).columns if c not in ("name", "approx_cost(for two people)")],
-        F.concat(F.lit("v"), F.col("venue")).alias("name"),
-        (F.col("id") % 1500).cast("string").alias("approx_cost(for two people)"),
+    shares = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    values = listing({}).first().asDict() | {
+        "name": F.concat(F.lit("v"), shares),
+        "approx_cost(for two people)": (F.col("id") % 1500).cast("string"),
+    }
+    staging = spark.range(3000).select(
+        *[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in values.items()]
     )
     venues = normalize.restaurants(staging)
     metrics = normalize.metrics(staging, venues)
@@ -122,3 +124,21 @@ def test_many_tied_favorites_stay_spread(spark):
     favorites = history.regional_favorites(items.resolve_items(orders))
     assert "Window" not in plan_of(favorites)
     assert favorites.count() == 5000
+
+
+def test_intermediate_tables_go_to_the_shared_folder(spark, sf_dir):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert workspace(spark, "x").startswith(f"{shared}/x-")
+    written = QUERIES["orders_json_scan"](spark, sf_dir).inputFiles()
+    assert all(f"{shared}/orders-json-" in file for file in written)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "yarn"}.get(key, default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace(Session, "x")
