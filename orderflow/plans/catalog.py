@@ -139,11 +139,13 @@ def normalize_metrics_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def locations_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Locations of the listing, added to those of the nations with an even key."""
-    nation = sample_tables.table(spark, sf_dir, "nation").filter("n_nationkey % 2 = 0")
-    region = sample_tables.table(spark, sf_dir, "region")
-    known = nation.join(region, F.expr("n_regionkey = r_regionkey")).select(
-        F.col("n_name").alias("location"), F.col("r_name").alias(CITY_COLUMN)
+    """Locations of the listing, added to those known from suppliers in debt."""
+    known = (
+        sample_tables.table(spark, sf_dir, "supplier")
+        .filter("s_acctbal < 0")
+        .join(sample_tables.table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey"))
+        .join(sample_tables.table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+        .select(F.col("n_name").alias("location"), F.col("r_name").alias(CITY_COLUMN))
     )
     target = normalize.locations(known).withColumn("is_new", F.lit(False))
     found = normalize.locations(sample_tables.listing(spark, sf_dir))

@@ -221,8 +221,8 @@ cleaned AS (
     SELECT name, address, phone, location_id,
         coalesce(online_order = 'Yes', FALSE) AS online_order,
         coalesce(book_table = 'Yes', FALSE) AS book_table,
-        TRY_CAST(nullif(nullif(nullif(trim(split_part(rate, '/', 1)), 'NEW'), '-'), '')
-                 AS DECIMAL(3,2)) AS rate,
+        CASE WHEN trim(split_part(rate, '/', 1)) NOT IN ('NEW', '-', '')
+             THEN TRY_CAST(trim(split_part(rate, '/', 1)) AS DECIMAL(3,2)) END AS rate,
         TRY_CAST(nullif(regexp_replace(votes, '\\D', '', 'g'), '') AS INTEGER) AS votes,
         rest_type, cuisines,
         TRY_CAST(nullif(regexp_replace(cost, '\\D', '', 'g'), '') AS INTEGER) AS approx_cost_two,
@@ -439,7 +439,8 @@ def oracle_sql() -> dict[str, str]:
             _TABLES
             + """,
             known AS (SELECT n_name AS location, r_name AS city
-                FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 2 = 0)""",
+                FROM supplier JOIN nation ON s_nationkey = n_nationkey
+                JOIN region ON n_regionkey = r_regionkey WHERE s_acctbal < 0)""",
             f"""SELECT DISTINCT {_id("location", "city")} AS location_id, location AS location_name,
                 city AS listed_in_city, FALSE AS is_new FROM known
             UNION ALL
