@@ -100,7 +100,7 @@ def orders_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "restaurant_city",
         "request_online",
         "order_price",
-        F.size("items").alias("item_count"),
+        F.array_size("items").alias("item_count"),
         F.col("_corrupt_record").isNotNull().alias("is_corrupt"),
     )
 

@@ -64,20 +64,23 @@ def load_listing(
     nothing. Row counts are taken while writing.
     """
     spark = staging.sparkSession
+    earlier = published_runs(spark, root)
+    if run_id in earlier:
+        raise ValueError(f"run {run_id!r} is already published")
     counts = {}
 
     def add(table: str, rows: DataFrame) -> DataFrame:
         key = TABLES[table][0]
         before = read_table(spark, root, table)
-        fresh = normalize.new_rows(rows, before, key).select(*before.columns)
+        # The first load has nothing to compare with, and need not shuffle its rows.
+        fresh = normalize.new_rows(rows, before, key) if earlier else rows
+        fresh = fresh.select(*before.columns)
         seen = Observation(table)
         path = f"{root}/run={run_id}/{table}"
         fresh.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         counts[table] = seen.get["rows"]
         return before.unionByName(spark.read.schema(TABLES[table][1]).parquet(path))
 
-    if run_id in published_runs(spark, root):
-        raise ValueError(f"run {run_id!r} is already published")
     keys = land(normalize.listing_keys(staging), f"{root}/run={run_id}/listing_keys")
     locations = add("locations", normalize.locations(keys))
     restaurants = add("restaurants", normalize.restaurants(keys, locations))
