@@ -154,10 +154,10 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("checkpoint")
         sub.add_argument("--servers", help="Kafka bootstrap servers")
         sub.add_argument("--max-files", type=int, help="files per micro-batch")
-        sub.add_argument("--available-now", action="store_true", help="stop at the end of the input")
+        sub.add_argument("--available-now", action="store_true", help="stop at the input's end")
         if name == "fraud":
             sub.add_argument("--windows", choices=WINDOWS, default="documented")
-            sub.add_argument("--with-window", action="store_true", help="send the window bounds too")
+            sub.add_argument("--with-window", action="store_true", help="send window bounds")
             sub.add_argument("--console", action="store_true", help="print the alerts as well")
     return top
 

@@ -50,7 +50,9 @@ def _row_checks() -> dict[str, Column]:
 
 def _rows_of(summary: DataFrame, names: list[str]) -> DataFrame:
     """One wide row of counts as (check_name, row_count) rows."""
-    pairs = [F.struct(F.lit(name).alias("check_name"), F.col(name).alias("row_count")) for name in names]
+    pairs = [
+        F.struct(F.lit(name).alias("check_name"), F.col(name).alias("row_count")) for name in names
+    ]
     return summary.select(F.inline(F.array(*pairs)))
 
 

@@ -106,7 +106,8 @@ def orders_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items.explode_items(sample_tables.orders(spark, sf_dir, costly=True)).select("order_id", "item.*")
+    orders = sample_tables.orders(spark, sf_dir, costly=True)
+    return items.explode_items(orders).select("order_id", "item.*")
 
 
 def items_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +193,8 @@ def validate_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City revenue of the valid orders only."""
-    return history.city_revenue(validate.only_valid(sample_tables.orders(spark, sf_dir, costly=True)))
+    orders = sample_tables.orders(spark, sf_dir, costly=True)
+    return history.city_revenue(validate.only_valid(orders))
 
 
 def validate_stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,7 +248,8 @@ def fraud_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     alerts = jobs.detect_fraud(messages, SAMPLE_WINDOWS)
     path = workspace(spark, "alerts")
-    update_output(alerts, path, workspace(spark, "alerts-checkpoint"), True).start().awaitTermination()
+    run = update_output(alerts, path, workspace(spark, "alerts-checkpoint"), True).start()
+    run.awaitTermination()
     return fraud.latest_alerts(spark.read.parquet(path))
 
 
@@ -303,7 +306,9 @@ def _registered() -> dict[str, Query]:
         "fraud_alerts_stream": fraud_alerts_stream,
         # restaurant dimension
         "restaurant_dimension": restaurant_dimension,
-        "restaurants_by_city": lambda s, d: dimension.restaurants_by_city(_dimension(s, d, costly=False)),
+        "restaurants_by_city": lambda s, d: dimension.restaurants_by_city(
+            _dimension(s, d, costly=False)
+        ),
         "popularity_rank": popularity_rank,
     }
 

@@ -169,7 +169,8 @@ listing AS (
         CASE WHEN s_suppkey % 40 = 1 THEN '  ' ELSE s_name END AS name,
         CASE l_returnflag WHEN 'A' THEN 'Yes' WHEN 'N' THEN 'No' ELSE ' yes' END AS online_order,
         CASE WHEN l_linestatus = 'O' THEN 'Yes' ELSE 'No' END AS book_table,
-        CASE l_orderkey % 7 WHEN 0 THEN 'NEW' WHEN 1 THEN '-' WHEN 3 THEN ' 3.9 /5' WHEN 4 THEN 'abc'
+        CASE l_orderkey % 7 WHEN 0 THEN 'NEW' WHEN 1 THEN '-'
+            WHEN 3 THEN ' 3.9 /5' WHEN 4 THEN 'abc'
             WHEN 5 THEN (3 + l_partkey % 20 // 10) || '.' || (l_partkey % 10) || '/5'
             WHEN 6 THEN (3 + l_partkey % 20 // 10) || '.' || (l_partkey % 10) || '5/5'
         END AS rate,
@@ -265,9 +266,8 @@ _METRIC_COLUMNS = f"""{_METRIC_ID} AS metric_id, restaurant_id, online_order, bo
 
 def _mean(total: str, count: str) -> str:
     """Mean with two decimals from a total in hundredths; no total is negative here."""
-    return (
-        f"CAST((2 * CAST({total} AS HUGEINT) + {count}) // (2 * nullif({count}, 0)) AS DOUBLE) / 100"
-    )
+    cents = f"(2 * CAST({total} AS HUGEINT) + {count}) // (2 * nullif({count}, 0))"
+    return f"CAST({cents} AS DOUBLE) / 100"
 
 
 _MEAN_COST = _mean("sum(approx_cost_two) * 100", "count(approx_cost_two)")
@@ -470,9 +470,11 @@ def oracle_sql() -> dict[str, str]:
             tables AS (SELECT (SELECT count(*) FROM locations) AS location_rows,
                 (SELECT count(*) FROM restaurants) AS restaurant_rows,
                 (SELECT count(*) FROM metrics_v) AS metric_rows)""",
-            """SELECT check_name, row_count FROM (UNPIVOT counted ON * INTO NAME check_name VALUE row_count)
+            """SELECT check_name, row_count
+            FROM (UNPIVOT counted ON * INTO NAME check_name VALUE row_count)
             UNION ALL
-            SELECT check_name, row_count FROM (UNPIVOT tables ON * INTO NAME check_name VALUE row_count)""",
+            SELECT check_name, row_count
+            FROM (UNPIVOT tables ON * INTO NAME check_name VALUE row_count)""",
         ),
         "fk_orphans": _with(
             _TABLES

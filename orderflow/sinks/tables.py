@@ -52,9 +52,7 @@ class LoadResult:
     rows: dict[str, int]
 
 
-def load_listing(
-    staging: DataFrame, root: str, run_id: str, match: str = "venue"
-) -> LoadResult:
+def load_listing(staging: DataFrame, root: str, run_id: str, match: str = "venue") -> LoadResult:
     """Normalise a landed listing and add what is new to the three tables.
 
     Every load writes only its new rows, to a folder of its own. Readers look

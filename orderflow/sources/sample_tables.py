@@ -126,7 +126,8 @@ def event_orders(events: DataFrame) -> DataFrame:
 def listing(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
     """Flat restaurant listing: 14 text columns, one row per line item."""
     return _lines(spark, sf_dir, costly).selectExpr(
-        "case when s_suppkey % 50 <> 9 then concat('Plot ', s_suppkey, ', ', n_name) end as address",
+        """case when s_suppkey % 50 <> 9
+                then concat('Plot ', s_suppkey, ', ', n_name) end as address""",
         "case when s_suppkey % 40 = 1 then '  ' else s_name end as name",
         "case l_returnflag when 'A' then 'Yes' when 'N' then 'No' else ' yes' end as online_order",
         "case when l_linestatus = 'O' then 'Yes' else 'No' end as book_table",

@@ -18,10 +18,11 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event):
         progress = event.progress
         late = sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
-        log.info("query %s batch %s: %s input rows", progress.id, progress.batchId, progress.numInputRows)
+        batch = f"query {progress.id} batch {progress.batchId}"
+        log.info("%s: %s input rows", batch, progress.numInputRows)
         if late:
             # Counted per operator and window, not per input row.
-            log.warning("query %s batch %s: %s late updates dropped", progress.id, progress.batchId, late)
+            log.warning("%s: %s late updates dropped", batch, late)
 
     def onQueryIdle(self, event):
         pass

@@ -32,7 +32,8 @@ def order(number, **fields):
 
 @pytest.mark.parametrize("options", [[], ["--infer"], ["--only-valid", "--all-hours"]])
 def test_history(spark, tmp_path, capsys, options):
-    source = lines(tmp_path / "in", [order(1), order(2, order_price=7.5), order(3, request_table=False)])
+    rows = [order(1), order(2, order_price=7.5), order(3, request_table=False)]
+    source = lines(tmp_path / "in", rows)
     main(["history", source, *options])
     printed = capsys.readouterr().out
     assert "naan" in printed

@@ -38,9 +38,13 @@ def alerts_of(spark, values, windows=WINDOWS):
 
 
 def keys(alerts):
+    """Alerts as (rule, user, minutes from the start of the test to the window's)."""
+
+    def minutes(time):
+        return int((time.replace(tzinfo=dt.UTC) - START).total_seconds() // 60)
+
     return sorted(
-        (r.alert_type[:3], r.user_id, int((r.window_start.replace(tzinfo=dt.UTC) - START).total_seconds() // 60))
-        for r in alerts.collect()
+        (r.alert_type[:3], r.user_id, minutes(r.window_start)) for r in alerts.collect()
     )
 
 
@@ -97,16 +101,18 @@ def test_payload(spark):
 def test_alerts_equal_a_plain_count(spark):
     """Brute force over random orders, one user with a third of them."""
     draw = random.Random(7)
+    users = ["hot"] * 10 + [f"u{n}" for n in range(20)]
     orders = [
-        ("hot" if draw.random() < 0.35 else f"u{draw.randrange(20)}", draw.uniform(0, 300), draw.choice("abc"))
+        (draw.choice(users), round(draw.uniform(0, 300), 3), draw.choice("abc"))
         for _ in range(600)
     ]
-    values = [message(n, user, round(m, 3), city) for n, (user, m, city) in enumerate(orders)]
+    values = [message(n, *order) for n, order in enumerate(orders)]
 
     def windows(size, slide):
         for start in range(-size, 301, slide):
             for user in {u for u, _, _ in orders}:
-                yield start, user, [c for u, m, c in orders if u == user and start <= round(m, 3) < start + size]
+                inside = (o for o in orders if o[0] == user and start <= o[1] < start + size)
+                yield start, user, [city for _, _, city in inside]
 
     expected = [("GEO", u, s) for s, u, c in windows(30, 10) if len(set(c)) > 1]
     expected += [("VEL", u, s) for s, u, c in windows(60, 20) if len(c) > 5]
@@ -262,7 +268,8 @@ def test_failures_are_logged(spark, tmp_path, caplog):
         write_files(tmp_path / "in", ["x"])
         source = streams.text_messages(spark, str(tmp_path / "in"))
         bad = source.withColumn("value", F.raise_error(F.lit("sink is gone")).cast("string"))
-        writer = file_output(bad.withColumn("p", F.lit(1)), str(tmp_path / "o"), str(tmp_path / "c"), "p", True)
+        out, checkpoint = str(tmp_path / "o"), str(tmp_path / "c")
+        writer = file_output(bad.withColumn("p", F.lit(1)), out, checkpoint, "p", True)
         with caplog.at_level("INFO"), pytest.raises(Exception, match="sink is gone"):
             writer.start().awaitTermination()
         for _ in range(50):

@@ -143,7 +143,8 @@ def test_favorites_keep_all_ties(spark):
 def test_demand_bands_cover_the_day(spark):
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour"))
     name, factor = history.demand_band(F.col("hour"))
-    found = {r.hour: (r.band, r.factor) for r in hours.select("hour", name.alias("band"), factor.alias("factor")).collect()}
+    rows = hours.select("hour", name.alias("band"), factor.alias("factor")).collect()
+    found = {r.hour: (r.band, r.factor) for r in rows}
     expected = {
         "morning": ({8, 9, 10}, 0.6),
         "lunch": ({12, 13, 14}, 3.0),

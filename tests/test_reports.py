@@ -18,9 +18,8 @@ def star(spark):
         places = places or {}
         metrics, venues, spots = [], {}, {}
         for number, (rid, lid, rate, cost, votes, online, kind) in enumerate(rows):
-            metrics.append(
-                (str(number), rid, online, False, rate and Decimal(rate), votes, None, None, cost, None, kind)
-            )
+            flags, score = (online, False), rate and Decimal(rate)
+            metrics.append((str(number), rid, *flags, score, votes, None, None, cost, None, kind))
             venues[rid] = (rid, f"name {rid}", None, None, lid)
             spots[lid] = (lid, *places.get(lid, (f"spot {lid}", f"city {lid}")))
         return (

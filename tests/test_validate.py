@@ -1,6 +1,8 @@
 """Order rules and routes."""
 
 import json
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,3 +147,30 @@ def test_tolerance_is_a_parameter(spark):
     rows = spark.createDataFrame([(order(order_price=3.5),)], "value string")
     (row,) = validate.check_messages(rows, tolerance=0.5).collect()
     assert row.route == "valid"
+
+
+def test_random_orders_follow_a_plain_statement_of_the_rules(spark):
+    draw = random.Random(11)
+    expected, values = {}, []
+    for number in range(400):
+        basket = [
+            {"unit_price": draw.randrange(1, 90000) / 100, "quantity": draw.randrange(0, 5)}
+            for _ in range(draw.randrange(0, 6))
+        ]
+        total = sum((Decimal(str(i["unit_price"])) * i["quantity"] for i in basket), Decimal(0))
+        off = draw.choice([0, 0, 0, 1, -1, 2, -2, 500]) / Decimal(100)
+        phone = draw.choice(["+91", "080", "91", "0+91", ""]) + "555"
+        online, table = draw.random() < 0.5, draw.random() < 0.5
+        rules = {
+            "INVALID_PHONE": phone[:3] not in ("+91", "080"),
+            "MODE_CONFLICT": online and table,
+            "PRICE_MISMATCH": abs(off) > Decimal("0.01"),
+        }
+        expected[str(number)] = [code for code, broken in rules.items() if broken]
+        fields = {"phone_number": phone, "request_online": online, "request_table": table}
+        values.append(
+            order(order_id=str(number), items=basket, order_price=float(total + off), **fields)
+        )
+    rows = spark.createDataFrame([(v,) for v in values], "value string")
+    found = {r.order_id: r.errors for r in validate.check_messages(rows).collect()}
+    assert found == expected
