@@ -248,17 +248,17 @@ def matches(
     return found
 
 
+def _is_clean(index: Index):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([next(index.find(t), None) is None for t in texts], dtype=bool)
+
+    return clean
+
+
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents in which no item is found, with their columns as they were."""
     kept = packed(documents, F.col(text).alias("text"))
-    schema = kept.schema
     for block in item_blocks(benchmark, "item_id", "text", BLOCK_WORDS):
-        index = Index(block)
-
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, index: Index = index) -> pd.Series:
-            return pd.Series([next(index.find(t), None) is None for t in texts], dtype=bool)
-
-        kept = kept.filter(clean("text"))
-    assert kept.schema == schema
+        kept = kept.filter(_is_clean(Index(block))("text"))
     return kept.select("row.*")

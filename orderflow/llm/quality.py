@@ -3,7 +3,8 @@
 Each rule looks at one statistic of a text and votes good (1) or bad (-1) or abstains (0). Nobody
 says which rule is right: expectation-maximisation over the counts of vote patterns estimates how
 often each rule casts each vote on good and on bad documents, and every document gets the
-posterior probability that it is good. Only the counts of distinct vote patterns, at most
+posterior probability that it is good. Before any vote good and bad are held for equally likely: defects are
+rare and of many kinds, so a share estimated from them would outweigh a rule that is nearly never wrong. Only the counts of distinct vote patterns, at most
 3 ** 8 rows whatever the input, reach the driver. Everything else is column expressions.
 
 Defined results: a null or empty text has no words, fails the base rule and is not kept; repeated
@@ -43,7 +44,7 @@ RULES = (
     Rule("capitals", "s.n_capitals", "s.n_letters", 0.15, 0.4),
     Rule("exclamations", "s.n_exclamations", "s.n_words", 0.02, 0.2),
     Rule("long_words", "s.word_chars", "s.n_words", 10.0, 20.0),
-    Rule("non_letters", "s.word_chars - s.n_letters", "s.word_chars", 0.15, 0.4),
+    Rule("non_letters", "s.word_chars - s.n_letters", "s.word_chars", 0.15, 0.55),
     Rule("unended_lines", "s.n_lines - s.n_ended_lines", "s.n_lines", 0.5, 0.95),
 )
 
@@ -125,15 +126,13 @@ def votes(rules: tuple[Rule, ...] = RULES) -> Column:
 
 @dataclass(frozen=True)
 class VoteModel:
-    """Share of good documents, and per rule the share of each vote (-1, 0, 1) in each class."""
+    """Per rule the share of each vote (-1, 0, 1) among good and among bad documents."""
 
-    prior: float
     good: tuple[tuple[float, float, float], ...]
     bad: tuple[tuple[float, float, float], ...]
 
     def log_odds(self, pattern: list[int]) -> float:
-        start = math.log(self.prior / (1 - self.prior))
-        return start + sum(
+        return sum(
             math.log(self.good[j][v + 1] / self.bad[j][v + 1])
             for j, v in enumerate(pattern)
             if v != 0
@@ -141,7 +140,7 @@ class VoteModel:
 
     def posterior(self, votes_column: Column) -> Column:
         """The probability of a good document as a column expression; abstentions say nothing."""
-        total = F.lit(math.log(self.prior / (1 - self.prior)))
+        total = F.lit(0.0)
         for j, (good, bad) in enumerate(zip(self.good, self.bad, strict=True)):
             vote = votes_column[j]
             total = total + (
@@ -159,14 +158,11 @@ def fit_votes(
 
     It starts from the belief that a document with a bad vote is bad. An abstention is neither
     right nor wrong, so only votes enter the products. Counts are smoothed; with no documents at
-    all the smoothing alone is left and every posterior is the prior.
+    all the smoothing alone is left.
     """
     weight = [0.1 if -1 in pattern else 0.95 for pattern, _ in patterns]
     model = None
     for _ in range(rounds):
-        total = sum(n for _, n in patterns)
-        good_mass = sum(w * n for w, (_, n) in zip(weight, patterns, strict=True))
-        prior = (good_mass + 0.9 * smoothing) / (total + smoothing)
         shares = []
         for side in (1, 0):
             per_rule = []
@@ -177,7 +173,7 @@ def fit_votes(
                     counts[pattern[j] + 1] += (w if side else 1 - w) * n
                 per_rule.append(tuple(c / sum(counts) for c in counts))
             shares.append(tuple(per_rule))
-        model = VoteModel(min(max(prior, 1e-6), 1 - 1e-6), *shares)
+        model = VoteModel(*shares)
         weight = [1 / (1 + math.exp(-min(max(model.log_odds(p), -700), 700))) for p, _ in patterns]
     return model
 
