@@ -22,7 +22,8 @@ with all that are not in their component, so no link between components is given
 
 Confirming. Links are confirmed on the full sets. Since only components are asked for, each document
 first confirms its best candidate among smaller ids; the confirmed links form a forest. Then
-all candidates between different trees of the forest are confirmed. A candidate inside one tree can't
+all candidates between different trees of the forest are confirmed, and last those that join components in
+large nodes. A candidate inside one tree can't
 change the result and is not looked at. Components are found by hooking and pointer jumping over
 tables; nothing of the documents reaches the driver.
 
@@ -388,15 +389,18 @@ def links(documents: DataFrame, leaders: DataFrame, join: Join) -> DataFrame:
     wanted = wanted.join(leaders.select("id", "tag"), ["id", "tag"], "left_semi").select("id", "text")
     sets = stored(wanted.mapInArrow(_sets(join.shingle), "id long, set binary").distinct(), "sets")
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a"))
-    roots = pointed(confirmed(best.select("a", "b"), sets, join).select(F.col("b").alias("id"), F.col("a").alias("parent")))
-    rest = pairs.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y"))
+    forest = confirmed(best.select("a", "b"), sets, join).select(F.col("b").alias("id"), F.col("a").alias("parent"))
+    roots = joined_by(pairs, pointed(forest), sets, join)
     if large is not None:
-        rest = rest.unionByName(
-            across(large, roots, tokens, join).select("a", "b", F.col("a").alias("x"), F.col("b").alias("y"))
-        )
-    open_pairs = relabelled(rest, roots).filter("a <> b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-    more = confirmed(open_pairs, sets, join)
-    tops = components(relabelled(more, roots))
+        roots = joined_by(across(large, roots, tokens, join), roots, sets, join)
+    return roots
+
+
+def joined_by(pairs: DataFrame, roots: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """``roots`` after confirming those of ``pairs`` that lead from one component to another."""
+    ends = pairs.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y"))
+    crossing = relabelled(ends, roots).filter("a <> b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    tops = components(relabelled(confirmed(crossing.distinct(), sets, join), roots))
     moved = roots.join(tops.select(F.col("id").alias("root"), F.col("root").alias("new")), "root", "left")
     return stored(moved.select("id", F.coalesce("new", "root").alias("root")).unionByName(tops), "roots")
 
