@@ -43,7 +43,7 @@ from orderflow.llm.common import stored, text_of
 from orderflow.llm.wordhash import run_hashes, word_hashes
 
 WINDOW, PREFIX = 50, 25
-TREE_STRETCHES = 4096
+TREE_STRETCHES = 16384
 _NULL_ID = -(1 << 62)
 
 
