@@ -62,6 +62,8 @@ class Join:
     small: int = 16
     #: Documents that each document of a large last node is compared with at first.
     ring: int = 4
+    #: Documents of a slot, in the exhaustive comparison of large last nodes.
+    cell: int = 4096
 
     @property
     def agreement(self) -> int:
@@ -350,20 +352,92 @@ def ring(large: DataFrame, tokens: DataFrame, join: Join) -> DataFrame:
     return _with_tokens(pairs.distinct(), tokens, join)
 
 
-def across(large: DataFrame, roots: DataFrame, tokens: DataFrame, join: Join) -> DataFrame:
-    """Candidates of large last nodes between different components.
+def _compare_cells(join: Join):
+    """Rows sorted by node and cell: confirmed links between components, enough to join them."""
 
-    One of the two is outside the main component of the node, which has most of its documents.
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, []
+        for batch in batches:
+            names = ("node", "one", "other", "slot", "id", "root", "main", "nodes", "tokens", "set")
+            for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if row[:3] != cell:
+                    yield _ends(_joining(cell, held, join))
+                    cell, held = row[:3], []
+                held.append(row[3:])
+        yield _ends(_joining(cell, held, join))
+
+    return compare
+
+
+def _joining(cell: tuple | None, rows: list[tuple], join: Join) -> list[tuple[int, int]]:
+    """Links found in a cell: all pairs from slot one to slot other, unless they are joined already.
+
+    A pair that shares several nodes is compared in the one of the smallest number.
+    """
+    if cell is None or len({r[2] for r in rows}) < 2:
+        return []
+    node, one, other = cell
+    slots, roots = np.array([r[0] for r in rows]), [r[2] for r in rows]
+    sketches, nodes = _nibbles([r[5] for r in rows]), [frozenset(r[4]) for r in rows]
+    outside = np.array([r[2] != r[3] for r in rows])
+    rooted = np.array(roots, np.int64)
+    top = {r: r for r in roots}
+
+    def find(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    found = []
+    for i in np.flatnonzero(outside).tolist():
+        to = (slots == (other if slots[i] == one else one)) & (rooted != rooted[i])
+        near = np.flatnonzero(to & ((sketches == sketches[i]).sum(axis=1) >= join.agreement))
+        for k in near.tolist():
+            if find(roots[i]) != find(roots[k]) and min(nodes[i] & nodes[k]) == node:
+                x, y = (np.frombuffer(rows[j][6], np.uint64) for j in (i, k))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= join.percent * (len(x) + len(y) - both):
+                    found.append((rows[i][1], rows[k][1]))
+                    top[find(roots[i])] = find(roots[k])
+    return found
+
+
+def _ends(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    flat = np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["a", "b"])
+
+
+def across(large: DataFrame, roots: DataFrame, tokens: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """Confirmed links (a, b) between components that share a large last node.
+
+    Nodes of one component need nothing. In the others the documents are dealt into slots of about
+    ``cell`` and each pair of slots is compared in blocks, so no task holds more than two slots.
+    Of a pair, one is outside the main component of the node, which has most of its documents.
     """
     labelled = large.join(roots, "id", "left").select("node", "id", F.coalesce("root", "id").alias("root"))
     counts = labelled.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("node").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    mixed = labelled.join(main.filter("parts > 1"), "node")
-    outside = mixed.filter("root <> main").select("node", F.col("id").alias("a"), F.col("root").alias("root_a"))
-    inside = mixed.select("node", F.col("id").alias("b"), F.col("root").alias("root_b"), "main")
-    pairs = outside.join(inside, "node").filter("root_a <> root_b and (root_b = main or a < b)")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return _with_tokens(pairs, tokens, join)
+    main = counts.groupBy("node").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"),
+        F.count(F.lit(1)).alias("parts"),
+        (1 + F.sum("n") / join.cell).cast("int").alias("slots"),
+    )
+    mixed = stored(labelled.join(main.filter("parts > 1"), "node"), "mixed")
+    own = mixed.groupBy("id").agg(F.collect_list("node").alias("nodes"))
+    carried = own.join(tokens, "id").join(sets, "id")
+    cells = (
+        mixed.withColumn("slot", F.pmod(F.xxhash64("node", "id"), F.col("slots")).cast("int"))
+        .withColumn("met", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+        .withColumn("one", F.least("slot", "met"))
+        .withColumn("other", F.greatest("slot", "met"))
+        .join(carried, "id")
+    )
+    return (
+        cells.select("node", "one", "other", "slot", "id", "root", "main", "nodes", "tokens", "set")
+        .repartition("node", "one", "other")
+        .sortWithinPartitions("node", "one", "other")
+        .mapInArrow(_compare_cells(join), "a long, b long")
+    )
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -392,7 +466,7 @@ def links(documents: DataFrame, leaders: DataFrame, join: Join) -> DataFrame:
     forest = confirmed(best.select("a", "b"), sets, join).select(F.col("b").alias("id"), F.col("a").alias("parent"))
     roots = joined_by(pairs, pointed(forest), sets, join)
     if large is not None:
-        roots = joined_by(across(large, roots, tokens, join), roots, sets, join)
+        roots = merged(roots, across(large, roots, tokens, sets, join))
     return roots
 
 
@@ -400,7 +474,12 @@ def joined_by(pairs: DataFrame, roots: DataFrame, sets: DataFrame, join: Join) -
     """``roots`` after confirming those of ``pairs`` that lead from one component to another."""
     ends = pairs.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y"))
     crossing = relabelled(ends, roots).filter("a <> b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    tops = components(relabelled(confirmed(crossing.distinct(), sets, join), roots))
+    return merged(roots, confirmed(crossing.distinct(), sets, join))
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after joining the components that confirmed links lead between."""
+    tops = components(relabelled(links, roots))
     moved = roots.join(tops.select(F.col("id").alias("root"), F.col("root").alias("new")), "root", "left")
     return stored(moved.select("id", F.coalesce("new", "root").alias("root")).unionByName(tops), "roots")
 
