@@ -4,9 +4,10 @@ import pytest
 from compare import differences, duck
 
 import __spark_entry__ as contract
+from orderflow.plans import catalog, oracle
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
