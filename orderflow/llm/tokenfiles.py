@@ -50,7 +50,7 @@ FILE_TOKENS = 4_000_000
 END_ID = 0
 _MAGIC = b"DAC1"
 _BLOCK = 512
-_REMEMBERED = 250_000
+_REMEMBERED = 500_000
 _CUT = re.compile(r" (?=\S)")
 _GAP = re.compile(r" (?!\S)")
 _SPACE = re.compile(r"\s")
