@@ -30,6 +30,15 @@ def show(title: str, df: DataFrame, rows: int = 20) -> None:
     df.show(rows, truncate=False)
 
 
+def report(title: str, df: DataFrame, output: str | None) -> None:
+    """A report in full to a folder of its own, if there is one; its first rows on the console."""
+    if output:
+        path = f"{output.rstrip('/')}/{title.lower().replace(' ', '-')}"
+        df.write.mode("overwrite").parquet(path)
+        df = df.sparkSession.read.parquet(path)
+    show(title, df)
+
+
 def run_history(spark: SparkSession, args: argparse.Namespace) -> None:
     """Seven reports over the order history."""
     orders = files.read_orders(spark, args.input, None if args.infer else ORDER)
@@ -39,13 +48,13 @@ def run_history(spark: SparkSession, args: argparse.Namespace) -> None:
         orders = validate.only_valid(orders)
     sold = items.resolve_items(orders)
     hours = history.hourly_pattern(orders, densify=args.all_hours)
-    show("Most sold items", history.top_items(sold))
-    show("Restaurants by revenue", history.top_revenue_restaurants(orders))
-    show("Online and dine-in orders", history.channel_leaders(orders))
-    show("Orders per hour", hours, 24)
-    show("Busiest and quietest hour", history.peak_hours(hours))
-    show("Revenue per city", history.city_revenue(orders))
-    show("Favourite items per city", history.regional_favorites(sold))
+    report("Most sold items", history.top_items(sold), args.output)
+    report("Restaurants by revenue", history.top_revenue_restaurants(orders), args.output)
+    report("Online and dine-in orders", history.channel_leaders(orders), args.output)
+    report("Orders per hour", hours, args.output)
+    report("Busiest and quietest hour", history.peak_hours(hours), args.output)
+    report("Revenue per city", history.city_revenue(orders), args.output)
+    report("Favourite items per city", history.regional_favorites(sold), args.output)
 
 
 def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -60,13 +69,11 @@ def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_reports(spark: SparkSession, args: argparse.Namespace) -> None:
     """Four reports over the loaded tables."""
     star = [tables.read_table(spark, args.root, t) for t in ("metrics", "restaurants", "locations")]
-    show("Delivery restaurants", reports.delivery_summary(star[0]))
-    show("Online ordering by city", reports.online_order_by_city(*star))
-    show(
-        "Top neighbourhoods",
-        reports.top_neighborhoods(*star, args.min_rating, args.min_restaurants),
-    )
-    show("Price tiers", reports.pricing_tiers(*star))
+    report("Delivery restaurants", reports.delivery_summary(star[0]), args.output)
+    report("Online ordering by city", reports.online_order_by_city(*star), args.output)
+    top = reports.top_neighborhoods(*star, args.min_rating, args.min_restaurants)
+    report("Top neighbourhoods", top, args.output)
+    report("Price tiers", reports.pricing_tiers(*star), args.output)
 
 
 def run_dimension(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -78,6 +85,8 @@ def run_dimension(spark: SparkSession, args: argparse.Namespace) -> None:
 def _messages(spark: SparkSession, args: argparse.Namespace, offsets: str) -> DataFrame:
     if args.servers:
         return streams.kafka_messages(spark, args.servers, args.source, offsets)
+    if getattr(args, "routed", False):
+        return streams.valid_messages(spark, args.source, args.max_files)
     return streams.text_messages(spark, args.source, args.max_files)
 
 
@@ -130,6 +139,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--infer", action="store_true", help="infer the schema")
     sub.add_argument("--parquet", help="convert the history once, to this folder")
     sub.add_argument("--only-valid", action="store_true", help="leave out orders that break a rule")
+    sub.add_argument("--output", help="folder for the reports in full")
     sub.add_argument("--all-hours", action="store_true", help="show hours without orders")
 
     sub = command("load", run_load)
@@ -140,6 +150,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command("reports", run_reports)
     sub.add_argument("root")
+    sub.add_argument("--output", help="folder for the reports in full")
     sub.add_argument("--min-rating", default=reports.TOP_RATING)
     sub.add_argument("--min-restaurants", type=int, default=reports.TOP_MIN_RESTAURANTS)
 
@@ -158,6 +169,7 @@ def parser() -> argparse.ArgumentParser:
         if name == "fraud":
             sub.add_argument("--windows", choices=WINDOWS, default="documented")
             sub.add_argument("--with-window", action="store_true", help="send window bounds")
+            sub.add_argument("--routed", action="store_true", help="source is the output of validate")
             sub.add_argument("--console", action="store_true", help="print the alerts as well")
     return top
 

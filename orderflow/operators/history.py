@@ -74,10 +74,10 @@ def hourly_pattern(orders: DataFrame, densify: bool = False) -> DataFrame:
 def peak_hours(hourly: DataFrame) -> DataFrame:
     """Busiest and quietest hour of an hourly pattern; ties go to the earlier hour."""
     volume, hour = F.col("transaction_volume"), F.col("order_hour")
-    busiest = F.max(F.struct(volume, -hour))
+    busiest = F.max(F.struct(volume, (-hour).alias("earliness")))
     quietest = F.min(F.struct(volume, hour))
     return hourly.agg(busiest.alias("b"), quietest.alias("q")).select(
-        (-F.col("b").getField("col2")).alias("peak_hour"),
+        (-F.col("b.earliness")).alias("peak_hour"),
         F.col("b.transaction_volume").alias("peak_volume"),
         F.col("q.order_hour").alias("off_peak_hour"),
         F.col("q.transaction_volume").alias("off_peak_volume"),

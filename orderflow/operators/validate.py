@@ -94,6 +94,9 @@ def with_errors(orders: DataFrame, tolerance: Decimal = PRICE_TOLERANCE) -> Data
 
 
 def only_valid(orders: DataFrame, tolerance: Decimal = PRICE_TOLERANCE) -> DataFrame:
+    """Orders without a broken rule; records that the reader could not type are not valid."""
+    if "_corrupt_record" in orders.columns:
+        orders = orders.filter(F.col("_corrupt_record").isNull())
     return with_errors(orders, tolerance).filter(F.size("errors") == 0).drop("errors")
 
 
@@ -104,7 +107,7 @@ def only_valid(orders: DataFrame, tolerance: Decimal = PRICE_TOLERANCE) -> DataF
 _ORDER = """order_id variant, phone_number variant, request_online boolean,
     request_table boolean, order_price double,
     items array<struct<unit_price:double,quantity:double>>"""
-_ENVELOPE = f"messages array<struct<{_ORDER}, end boolean>>, corrupt string"
+_ENVELOPE = f"messages array<struct<{_ORDER}, end string>>, corrupt string"
 
 
 def _is_text(value: Column) -> Column:
@@ -118,17 +121,22 @@ def check_messages(messages: DataFrame, tolerance: Decimal = PRICE_TOLERANCE) ->
     broken rules) and ``reason`` (why a message is malformed).
     """
     # A parser stops after the first JSON value. In an envelope, anything left
-    # over after it is a parse error or shifts the end mark.
-    value, end = F.col("value"), F.lit(',{"end":true}]')
+    # over after it is a parse error or shifts the end mark. The mark is a hash of
+    # the whole text, which the text cannot hold.
+    value, mark = F.col("value"), F.md5("value")
+    end = F.concat(F.lit(',{"end":"'), mark, F.lit('"}]'))
     wrapped = F.concat(F.lit('{"messages":['), value, end, F.lit("}"))
-    envelope = F.from_json(wrapped, _ENVELOPE, {"columnNameOfCorruptRecord": "corrupt"})
+    envelope = F.from_json(wrapped, _ENVELOPE, {
+        "columnNameOfCorruptRecord": "corrupt",
+        "allowNonNumericNumbers": "false",
+    })
     parsed = messages.withColumn("envelope", envelope).select(
         *messages.columns,
         F.get("envelope.messages", F.lit(0)).alias("order"),
         F.coalesce(
             F.col("envelope.corrupt").isNull()
             & (F.size("envelope.messages") == 2)
-            & F.get("envelope.messages", F.lit(1)).getField("end"),
+            & (F.get("envelope.messages", F.lit(1)).getField("end") == mark),
             F.lit(False),
         ).alias("is_typed"),
     )
@@ -141,7 +149,7 @@ def check_messages(messages: DataFrame, tolerance: Decimal = PRICE_TOLERANCE) ->
 
     # Only a message that did not parse as typed is looked at again, to say why.
     as_list = F.try_parse_json(F.concat(F.lit("["), value, end))
-    is_json = F.coalesce(F.try_variant_get(as_list, "$[1].end", "boolean"), F.lit(False))
+    is_json = F.coalesce(F.try_variant_get(as_list, "$[1].end", "string") == mark, F.lit(False))
     is_object = value.rlike(r"^[ \t\r\n]*\{")
     fields_ok = (
         _is_text(F.col("order_id"))

@@ -53,7 +53,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items.resolve_items(sample_tables.orders(spark, sf_dir, costly=True))
+    return items.resolve_items(sample_tables.orders(spark, sf_dir))
 
 
 def _timed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def _restaurant_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     """Metrics, restaurants and locations of the listing."""
     keys = _listing_keys(spark, sf_dir)
     restaurant_table = normalize.restaurants(keys)
-    staging = sample_tables.listing(spark, sf_dir, costly=True)
+    staging = sample_tables.listing(spark, sf_dir)
     return (
         normalize.metrics(staging, restaurant_table),
         restaurant_table,
@@ -82,8 +82,8 @@ def _restaurant_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     )
 
 
-def _dimension(spark: SparkSession, sf_dir: str, costly: bool = True) -> DataFrame:
-    return dimension.restaurant_dimension(sample_tables.listing(spark, sf_dir, costly))
+def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimension.restaurant_dimension(sample_tables.listing(spark, sf_dir))
 
 
 # --- queries -----------------------------------------------------------------
@@ -106,7 +106,7 @@ def orders_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = sample_tables.orders(spark, sf_dir, costly=True)
+    orders = sample_tables.orders(spark, sf_dir)
     return items.explode_items(orders).select("order_id", "item.*")
 
 
@@ -117,7 +117,7 @@ def items_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staging_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing written as CSV, read back and landed as Parquet."""
     path = workspace(spark, "listing-csv")
-    files.write_listing(sample_tables.listing(spark, sf_dir, costly=True), path)
+    files.write_listing(sample_tables.listing(spark, sf_dir), path)
     return land(files.read_listing(spark, path), workspace(spark, "staging"))
 
 
@@ -136,7 +136,7 @@ def normalize_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_metrics_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.metrics(sample_tables.listing(spark, sf_dir, costly=True), match="exact")
+    return normalize.metrics(sample_tables.listing(spark, sf_dir), match="exact")
 
 
 def locations_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +193,7 @@ def validate_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City revenue of the valid orders only."""
-    orders = sample_tables.orders(spark, sf_dir, costly=True)
+    orders = sample_tables.orders(spark, sf_dir)
     return history.city_revenue(validate.only_valid(orders))
 
 
@@ -307,7 +307,7 @@ def _registered() -> dict[str, Query]:
         # restaurant dimension
         "restaurant_dimension": restaurant_dimension,
         "restaurants_by_city": lambda s, d: dimension.restaurants_by_city(
-            _dimension(s, d, costly=False)
+            _dimension(s, d)
         ),
         "popularity_rank": popularity_rank,
     }

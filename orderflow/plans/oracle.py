@@ -22,7 +22,7 @@ _ORDERS = (
 priced AS (
     SELECT *,
         CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price,
-        list_transform(range(1, least(l_linenumber, 7) + 1),
+        list_transform(range(1, (l_linenumber - 1) % 7 + 2),
                        lambda i: 1 + (CAST(l_quantity AS INTEGER) + i) % 4) AS quantities
     FROM lines
 ),
@@ -50,7 +50,7 @@ orders_v AS (
     FROM totals
 ),
 numbered AS (
-    SELECT *, unnest(range(1, least(l_linenumber, 7) + 1)) AS i FROM orders_v
+    SELECT *, unnest(range(1, (l_linenumber - 1) % 7 + 2)) AS i FROM orders_v
 ),
 items_v AS (
     SELECT order_id, restaurant_city,
@@ -76,7 +76,7 @@ texts AS (
         || '","request_online":' || CAST(request_online AS VARCHAR)
         || ',"request_table":' || CAST(request_table AS VARCHAR)
         || ',"order_time":"' || order_time || '","items":['
-        || array_to_string(list_transform(range(1, least(l_linenumber, 7) + 1), lambda i:
+        || array_to_string(list_transform(range(1, (l_linenumber - 1) % 7 + 2), lambda i:
             '{"food_item":"' || p_name || ' '
             || ['curry', 'naan', 'rice', 'tea', 'kebab', 'paratha', 'juice'][i]
             || '","category":"' || p_type || '","unit_price":' || unit_price

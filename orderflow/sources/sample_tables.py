@@ -20,27 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row-wise work on a file with few splits.
-
-    An input of any size has more splits than cores and passes unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def _lines(spark: SparkSession, sf_dir: str, costly: bool) -> DataFrame:
-    """Line items with their part, supplier, nation and region.
-
-    ``costly`` says that every row will be expensive to work on.
-    """
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their part, supplier, nation and region."""
     lineitem = table(spark, sf_dir, "lineitem")
     places = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
     )
     return (
-        (spread(lineitem) if costly else lineitem)
-        .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+        lineitem.join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
         .join(places, F.expr("s_nationkey = n_nationkey"))
     )
@@ -49,10 +36,10 @@ def _lines(spark: SparkSession, sf_dir: str, costly: bool) -> DataFrame:
 def _order_columns(lines: DataFrame, price: str) -> DataFrame:
     """Order fields, with prices computed exactly and given as type ``price``.
 
-    A line item with line number n orders the first n dishes.
+    A line item orders as many dishes as its line number, starting again after the last.
     """
     dishes = range(1, len(COURSES) + 1)
-    count = f"least(l_linenumber, {len(COURSES)})"
+    count = f"(1 + (l_linenumber - 1) % {len(COURSES)})"
     quantity = [f"(1 + (cast(l_quantity as int) + {i}) % 4)" for i in dishes]
     units = " + ".join(f"if({i} <= {count}, {quantity[i - 1]}, 0)" for i in dishes)
     items = ", ".join(
@@ -86,9 +73,9 @@ def _order_columns(lines: DataFrame, price: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order history in the shape of the order schema."""
-    return _order_columns(_lines(spark, sf_dir, costly), "double").drop("l_orderkey")
+    return _order_columns(_lines(spark, sf_dir), "double").drop("l_orderkey")
 
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +83,7 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The messages carry a field the order schema does not know.
     """
-    exact = _order_columns(_lines(spark, sf_dir, True), "decimal(18,2)")
+    exact = _order_columns(_lines(spark, sf_dir), "decimal(18,2)")
     fields = [name for name in exact.columns if name != "l_orderkey"]
     text = exact.select(
         "l_orderkey",
@@ -123,9 +110,9 @@ def event_orders(events: DataFrame) -> DataFrame:
     )
 
 
-def listing(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat restaurant listing: 14 text columns, one row per line item."""
-    return _lines(spark, sf_dir, costly).selectExpr(
+    return _lines(spark, sf_dir).selectExpr(
         """case when s_suppkey % 50 <> 9
                 then concat('Plot ', s_suppkey, ', ', n_name) end as address""",
         "case when s_suppkey % 40 = 1 then '  ' else s_name end as name",

@@ -40,6 +40,19 @@ def text_messages(
     return reader.load(path).select(F.lit(None).cast("string").alias("key"), "value")
 
 
+def valid_messages(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The valid messages of a validator's output folder.
+
+    The root of the output is read, where the sink's commit log lies.
+    """
+    reader = spark.readStream.schema("key string, value string, route string")
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path).filter("route = 'valid'").select("key", "value")
+
+
 def parquet_messages(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:

@@ -174,3 +174,28 @@ def test_random_orders_follow_a_plain_statement_of_the_rules(spark):
     rows = spark.createDataFrame([(v,) for v in values], "value string")
     found = {r.order_id: r.errors for r in validate.check_messages(rows).collect()}
     assert found == expected
+
+
+@pytest.mark.parametrize(
+    ("text", "reason"),
+    [
+        ('{"order_id":"x","phone_number":"+91 1","order_price":0,"items":[]},{"end":true}],"x":[0', "NOT_JSON"),
+        ('{"order_id":"x","phone_number":"+91 1","order_price":0,"items":[]},{"end":true}', "NOT_JSON"),
+        ('{"order_id":"x","phone_number":"+91 1","order_price":"NaN","items":[]}', "BAD_FIELD_TYPE"),
+        ('{"order_id":"x","phone_number":"+91 1","order_price":"Infinity","items":[]}', "BAD_FIELD_TYPE"),
+        ('{"order_id":"x","phone_number":"+91 1","order_price":0,"items":[]}', None),
+    ],
+)
+def test_only_one_json_object_is_a_message(spark, text, reason):
+    found = validate.check_messages(spark.createDataFrame([(text,)], "value string")).first()
+    assert found.reason == reason
+    assert (found.route == "malformed") == (reason is not None)
+
+
+def test_untyped_records_are_not_valid(spark):
+    rows = [("1", "+91 1", None), ("2", "+91 1", "{...}")]
+    orders = spark.createDataFrame(rows, "order_id string, phone_number string, _corrupt_record string").selectExpr(
+        "*", "false as request_online", "false as request_table", "0d as order_price",
+        "cast(array() as array<struct<unit_price:double,quantity:int>>) as items",
+    )
+    assert [r.order_id for r in validate.only_valid(orders).collect()] == ["1"]
