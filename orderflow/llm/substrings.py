@@ -18,10 +18,11 @@ the documents behind the smallest one lose the window.
 * Prefixes are sorted into tasks; a task fills a set up to ``tree_stretches`` stretches, always whole
   prefixes, and builds its subtree as a sorted suffix array whose equal neighbours up to
   depth 50 are the deep nodes. Words, not hashes, are compared.
-* A prefix with more stretches than that gets longer: the windows of its stretches become prefixes of 50
-  words, where each prefix is one deep node, and its smallest document is found by a grouped minimum
-  with partial sums before the shuffle. So a passage that a third of all documents share meets no
-  single task. These prefixes are told apart by 128 bits of a cryptographic hash.
+* A prefix with more stretches than that gets longer: stretches of equal text are first merged into one
+  branch, by partial sums before the shuffle. The windows of the branches become prefixes of 50
+  words, where each prefix is one deep node, and its smallest document is found by a grouped minimum.
+  So a passage that a third of all documents share meets no single task, and is split into windows
+  once. Branches and these prefixes are told apart by 256 and 128 bits of a cryptographic hash.
 
 Defined results: a null or empty text has no words; a document of fewer than 50 words loses none;
 rows that share an id are
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import stored, text_of
@@ -121,7 +122,10 @@ def _stretches(window: int, prefix: int):
 _ROW = [("id", pa.int64()), ("tag", pa.int64()), ("first", pa.int32())]
 STRETCH = pa.schema([("prefix", pa.int64()), *_ROW, ("text", pa.binary())])
 SPAN = pa.schema([*_ROW, ("last", pa.int32())])
-NODE = pa.schema([("node", pa.binary()), *_ROW])
+NODE = pa.schema(
+    [("node", pa.binary()), ("prefix", pa.int64()), ("digest", pa.string()), ("place", pa.int32()),
+     ("least", pa.int64()), ("most", pa.int64())]
+)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -196,12 +200,12 @@ def _nodes(window: int):
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            columns = [batch.column(c).to_pylist() for c in ("id", "tag", "first", "text")]
-            for doc, tag, first, text in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("prefix", "digest", "least", "most", "text")]
+            for prefix, own, least, most, text in zip(*columns, strict=True):
                 words = text.split()
                 for k in range(len(words) - window + 1):
                     node = hashlib.blake2b(b" ".join(words[k : k + window]), digest_size=16).digest()
-                    out.append((node, doc, tag, first + k))
+                    out.append((node, prefix, own, k, least, most))
                 if len(out) >= 50_000:
                     yield _batch(out, NODE)
                     out = []
@@ -210,6 +214,42 @@ def _nodes(window: int):
     return nodes
 
 
+def _runs(places: DataFrame, smallest_too: bool) -> DataFrame:
+    """Runs (a, b) of neighbouring places in each branch."""
+    branch = ["prefix", "digest", "least"]
+    island = F.col("place") - F.row_number().over(Window.partitionBy(*branch).orderBy("place"))
+    return (
+        places.withColumn("island", island)
+        .groupBy(*branch, "island")
+        .agg(F.min("place").alias("a"), F.max("place").alias("b"))
+        .select(*branch, "a", "b", F.lit(smallest_too).alias("smallest_too"))
+    )
+
+
+def repeated_below(stretches: DataFrame, window: int) -> DataFrame:
+    """(id, tag, first, last) of the windows to remove of stretches whose prefix is too large for a task.
+
+    Stretches of equal text are one branch, which is looked at once with its smallest and largest id. Of
+    a branch, the documents after the smallest lose every window that is a deep node, and the
+    smallest those that start in a yet smaller one.
+    """
+    held = stretches.withColumn("digest", F.sha2("text", 256))
+    branches = held.groupBy("prefix", "digest").agg(
+        F.min("id").alias("least"), F.max("id").alias("most"), F.any_value("text").alias("text")
+    )
+    columns = "node binary, prefix long, digest string, place int, least long, most long"
+    nodes = stored(branches.mapInArrow(_nodes(window), columns), "nodes")
+    ends = nodes.groupBy("node").agg(F.min("least").alias("bottom"), F.max("most").alias("top"))
+    deep = nodes.join(ends.filter("bottom < top"), "node")
+    runs = _runs(deep, False).unionByName(_runs(deep.filter("bottom < least"), True))
+    return (
+        held.select("prefix", "digest", "id", "tag", "first")
+        .join(runs, ["prefix", "digest"])
+        .filter((F.col("id") == F.col("least")) == F.col("smallest_too"))
+        .select("id", "tag", (F.col("first") + F.col("a")).alias("first"), (F.col("first") + F.col("b")).alias("last"))
+    )
+
+
 def repeated_windows(
     documents: DataFrame, survey: DataFrame, window: int, prefix: int, tree_stretches: int
 ) -> DataFrame:
@@ -242,13 +282,7 @@ def repeated_windows(
     )
     if large.isEmpty():
         return spans
-    nodes = stored(
-        stretches.join(large, "prefix", "left_semi").mapInArrow(_nodes(window), f"node binary, {row}"),
-        "nodes",
-    )
-    least = nodes.groupBy("node").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    deep = nodes.join(least.filter("least < most"), "node").filter("id > least")
-    return spans.unionByName(deep.select("id", "tag", "first", F.col("first").alias("last")))
+    return spans.unionByName(repeated_below(stretches.join(large, "prefix", "left_semi"), window))
 
 
 def _rest(window: int):
