@@ -1,8 +1,9 @@
 """Near-duplicate documents by a chosen-path set similarity join on minwise tokens.
 
 A document's set is its distinct runs of ``shingle`` words, with A-Z in lower case; two documents are
-linked if the Jaccard similarity of their sets is 0.8 or more. Documents of equal sets are one class,
-which its first document stands for.
+linked if the Jaccard similarity of their sets is 0.8 or more. Documents of equal sets are one class.
+The join is between classes, each with a number of its own: whatever ids the documents of a class have, and
+however many classes an id is in. Only at the end a component is named by its smallest id.
 
 The join. A set is embedded as 128 minwise tokens; two sets agree in each with their similarity as
 probability. Each of 12 trees starts with all documents in its root. A node chooses one or two of
@@ -28,9 +29,9 @@ change the result and is not looked at. Components are found by hooking and poin
 tables; nothing of the documents reaches the driver.
 
 Defined results: null and empty texts have an empty set, are linked with nothing and kept; a text of
-fewer words than a shingle is one shingle; repeated rows of an id have the same results, for
-different texts of one id the component of either; a null id is compared like another and stands before all;
-an empty table gives an empty table; other columns are not looked at.
+fewer words than a shingle is one shingle; rows of one id with different texts are documents of their own, each with
+the component of its text; a null id is one like another and stands before all, and so do rows with it; of a component one row
+is kept, so of rows with the same id and text one at most; an empty table gives an empty table; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import packed, stored, text_of
@@ -133,13 +134,12 @@ def _survey(join: Join):
                 sizes[full] = np.bincount(at[rows], minlength=len(full))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id"),
                     pa.array(counts, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array([None if t is None else t.tobytes() for t in tokens], pa.binary()),
                     _lists(sizes, nodes),
                 ],
-                ["id", "n_shingles", "class", "tokens", "nodes"],
+                ["n_shingles", "class", "tokens", "nodes"],
             )
 
     return survey
@@ -458,9 +458,9 @@ def links(documents: DataFrame, leaders: DataFrame, join: Join) -> DataFrame:
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     if large is not None:
         ends = ends.unionByName(large.select("id"))
-    wanted = documents.join(ends.distinct(), "id", "left_semi")
-    # Rows that share an id are one document to the links, so one of their texts is chosen.
-    wanted = wanted.join(leaders.select("id", "tag"), ["id", "tag"], "left_semi").select("id", "text")
+    # A class has the set of its first document; rows repeated of that give it again.
+    wanted = leaders.select("id", "doc", "tag").join(ends.distinct(), "id", "left_semi")
+    wanted = documents.select("doc", "tag", "text").join(wanted, ["doc", "tag"]).select("id", "text")
     sets = stored(wanted.mapInArrow(_sets(join.shingle), "id long, set binary").distinct(), "sets")
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a"))
     forest = confirmed(best.select("a", "b"), sets, join).select(F.col("b").alias("id"), F.col("a").alias("parent"))
@@ -487,40 +487,55 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(
     documents: DataFrame, key: str = "doc_id", text: str = "text", join: Join | None = None
 ) -> DataFrame:
-    """One row per document: the key, ``n_shingles``, ``component_id`` and ``kept``."""
+    """One row per row: the key, ``n_shingles``, ``component_id`` and ``kept``, true for one row of a component."""
     join = join or Join()
-    narrow = documents.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(_NULL_ID)).alias("id"), text_of(text).alias("text")
-    ).select("id", F.xxhash64("text").alias("tag"), "text")
-    # The tag goes around Python as it is only a column of the row.
-    survey = stored(
-        narrow.mapInArrow(
-            _tagged(_survey(join)),
-            "id long, n_shingles long, class binary, tokens binary, nodes array<long>, tag long",
-        ),
-        "survey",
+    found = verdicts(_keyed(documents, F.col(key), text_of(text)), join)
+
+    def outside(c: str):
+        return F.expr(f"nullif({c}, {_NULL_ID})")
+
+    return found.select(outside("doc").alias(key), "n_shingles", outside("component").alias("component_id"), "kept")
+
+
+def _keyed(documents: DataFrame, key: Column, text: Column, *more: Column) -> DataFrame:
+    """``doc`` and ``tag``, the digest of the text, which tell documents apart, then the text."""
+    narrow = documents.select(F.coalesce(key.cast("long"), F.lit(_NULL_ID)).alias("doc"), text.alias("text"), *more)
+    return narrow.withColumn("tag", F.md5("text"))
+
+
+def verdicts(narrow: DataFrame, join: Join) -> DataFrame:
+    """One row per row of ``narrow`` (doc, tag, text): doc, tag, ``n_shingles``, ``component`` and ``kept``.
+
+    Of a component one row is kept: one of the first doc, tag. Rows are numbered as they are written, so
+    equal rows differ in their number only, and the first is found by partial aggregation.
+    """
+    # The keys go around Python as they are only columns of the row.
+    survey = narrow.mapInArrow(
+        _tagged(_survey(join)),
+        "n_shingles long, class binary, tokens binary, nodes array<long>, doc long, tag string",
     )
+    survey = stored(survey.withColumn("row", F.monotonically_increasing_id()), "survey")
     filled = survey.filter("n_shingles > 0")
-    first = filled.groupBy("class").agg(F.min(F.struct("id", "tag")).alias("l")).select("class", "l.id", "l.tag")
+    first = filled.groupBy("class").agg(F.min(F.struct("doc", "tag", "row")).alias("first"))
+    # Classes get a number of their own: a doc may lead several, and digests are longer than a vertex.
+    classes = stored(first.withColumn("id", F.monotonically_increasing_id()), "classes")
+    own = filled.select("class", "tokens", "nodes").dropDuplicates(["class"])
     leaders = stored(
-        filled.join(first.drop("class"), ["id", "tag"], "left_semi").select("id", "tag", "tokens", "nodes").dropDuplicates(["id"]),
-        "leaders",
+        own.join(classes, "class").select("id", "first.doc", "first.tag", "tokens", "nodes"), "leaders"
     )
     roots = links(narrow, leaders, join)
-    classes = first.join(roots, "id", "left").select("class", F.coalesce("root", "id").alias("component"))
-    found = survey.join(classes, "class", "left").select(
-        "id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id")).alias("component")
+    members = classes.join(roots, "id", "left").select("class", F.coalesce("root", "id").alias("root"), "first")
+    heads = members.groupBy("root").agg(F.min("first").alias("head"))
+    placed = members.join(heads, "root").select("class", "head")
+    linked = filled.join(placed, "class").select(
+        "doc", "tag", "n_shingles", F.col("head.doc").alias("component"), (F.col("row") == F.col("head.row")).alias("kept")
     )
-
-    def outside(c: str):
-        return F.expr(f"nullif({c}, {_NULL_ID})")
-
-    return found.select(
-        outside("id").alias(key),
-        "n_shingles",
-        outside("component").alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
+    bare = survey.filter("n_shingles = 0").select("doc", "tag", "n_shingles", "row")
+    alone = bare.groupBy("doc", "tag").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("kept"))
+    unlinked = bare.join(alone, "row", "left").select(
+        "doc", "tag", "n_shingles", F.col("doc").alias("component"), F.coalesce("kept", F.lit(False)).alias("kept")
     )
+    return linked.unionByName(unlinked)
 
 
 def _tagged(work):
@@ -528,7 +543,7 @@ def _tagged(work):
         for batch in batches:
             for done in work(iter([batch])):
                 yield pa.RecordBatch.from_arrays(
-                    [*done.columns, batch.column("tag")], [*done.schema.names, "tag"]
+                    [*done.columns, batch.column("doc"), batch.column("tag")], [*done.schema.names, "doc", "tag"]
                 )
 
     return tagged

@@ -140,6 +140,19 @@ def test_keep_first_keeps_columns(docs):
     assert {r.doc_id for r in kept.collect() if r.text is None or not r.text.strip()} == {0, 7, 14}
 
 
+def test_near_duplicates_of_an_id_with_several_texts(spark):
+    rng = random.Random(31)
+    a, b, c = (_sentence(rng, 120) for _ in range(3))
+    near = f"{b} changed"
+    rows = [(None, a), (None, b), (6, b), (7, near), (5, c), (5, f"{a} more"), (9, c), (8, None), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = neardup.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.component_id, r.kept) for r in found) == Counter(
+        [(None, None, True)] * 2 + [(6, None, False), (7, None, False), (5, 5, True), (5, None, False), (9, 5, False)]
+        + [(8, 8, True), (8, 8, False)]
+    )
+
+
 # --- decontamination ----------------------------------------------------------
 
 
