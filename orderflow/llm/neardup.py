@@ -550,7 +550,14 @@ def _tagged(work):
 
 
 def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text", join: Join | None = None) -> DataFrame:
-    """The documents that stand for their component, with their columns as they were."""
-    kept = near_duplicates(documents, key, text, join).filter("kept").select(F.col(key).alias("id")).distinct()
-    rows = packed(documents, F.col(key).alias("id"))
-    return rows.join(kept, rows["id"].eqNullSafe(kept["id"]), "left_semi").select("row.*")
+    """The documents that stand for their component, one row for each, with their columns as they were.
+
+    Of rows with the same key and text that differ in other columns, the one of the smallest hash stays.
+    """
+    found = verdicts(_keyed(documents, F.col(key), text_of(text)), join or Join())
+    kept = found.filter("kept").select("doc", "tag")
+    # Rows that repeat a document meet in partial aggregations, before they are dealt by document.
+    rows = packed(documents, F.col(key).alias("key"), text_of(text).alias("text"))
+    rows = _keyed(rows, F.col("key"), F.col("text"), F.col("row")).drop("text")
+    rows = rows.groupBy("doc", "tag").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return rows.join(kept, ["doc", "tag"], "left_semi").select("row.*")

@@ -153,6 +153,17 @@ def test_near_duplicates_of_an_id_with_several_texts(spark):
     )
 
 
+def test_one_row_of_a_component_stays(spark):
+    rng = random.Random(32)
+    a, b, c = (_sentence(rng, 120) for _ in range(3))
+    rows = [(None, a, "x"), (None, a, "y"), (None, f"{a} more", "x"), (None, b, "x"), (5, c, "x"), (5, c, "x")]
+    rows += [(5, f"{b} more", "x"), (6, c, "x"), (7, None, "x"), (7, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = [(r.doc_id, r.text) for r in neardup.keep_first(docs).collect()]
+    assert Counter(t is None or t[:20] for _, t in kept) == Counter([a[:20], b[:20], c[:20], True])
+    assert Counter(d for d, _ in kept) == Counter({None: 2, 5: 1, 7: 1})
+
+
 # --- decontamination ----------------------------------------------------------
 
 
