@@ -344,6 +344,23 @@ def test_chat_masks_and_parts(spark):
     assert chat.perspectives(df.limit(0)).collect() == []
 
 
+def test_chat_parts_are_bounded_whatever_the_turn_numbers(spark):
+    rows = [(1, None, "ann", "Bye")] * 9 + [(1, 2, "bob", f"é{i}") for i in range(7)] + [(None, 0, "system", "x"), (None, 0, "ann", "y")] * 5
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    found = chat.perspectives(df, part_turns=4).collect()
+    assert max(r.n_turns for r in found) <= 4
+    for d, me in {(r.conv_id, r.perspective) for r in found}:
+        mine = sorted((r for r in found if (r.conv_id, r.perspective) == (d, me)), key=lambda r: r.part)
+        assert [r.part for r in mine] == list(range(len(mine)))
+        assert [r.offset for r in mine] == [sum(len(r.text) for r in mine[:k]) for k in range(len(mine))]
+        turns = sorted((n if n is not None else 99, s, t) for own, n, s, t in rows if own == d)
+        role = {"system": "system", me: "assistant"}
+        want = "".join(f"<|{role.get(s, f'user name={s}')}|>\n{t}<|end|>\n" for _, s, t in turns)
+        assert "".join(r.text for r in mine) == want
+        spoken = [r.text[m.begin : m.end] for r in mine for m in r.masks]
+        assert spoken == [f"{t}<|end|>" for _, s, t in turns if s == me]
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [
