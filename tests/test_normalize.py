@@ -146,6 +146,17 @@ def test_audit_counts(spark, listing):
     }
 
 
+def test_copies_count_alike_in_every_load(spark, listing, tmp_path):
+    root = str(tmp_path / "root")
+    assert tables.load_listing(listing({}), root, "one").rows["metrics"] == 1
+    assert tables.load_listing(listing({}, {}, {}), root, "two").rows["metrics"] == 2
+    assert tables.load_listing(listing({}, {}), root, "three").rows["metrics"] == 0
+    found = tables.read_table(spark, root, "metrics")
+    assert (found.count(), found.select("metric_id").distinct().count()) == (3, 3)
+    many = normalize.numbered_copies(spark.range(10_000).selectExpr("'a' metric_id", "'b' c"))
+    assert many.distinct().count() == many.count() == 10_000
+
+
 def test_audit_of_an_empty_listing(spark, listing):
     found = audit.load_audit(listing({}).limit(0)).collect()
     assert {r.row_count for r in found} == {0}
