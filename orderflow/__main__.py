@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.operators import audit, dimension, fraud, history, items, validate
 from orderflow.plans import restaurant_reports as reports
-from orderflow.schemas import ORDER
 from orderflow.sinks import streams as sinks
 from orderflow.sinks import tables
 from orderflow.sources import files, streams
@@ -41,12 +40,15 @@ def report(title: str, df: DataFrame, output: str | None) -> None:
 
 def run_history(spark: SparkSession, args: argparse.Namespace) -> None:
     """Seven reports over the order history."""
-    orders = files.read_orders(spark, args.input, None if args.infer else ORDER)
+    orders = files.read_orders(spark, args.input, None) if args.infer else files.read_history(spark, args.input)
     if args.parquet:
         orders = tables.land(orders, args.parquet)
+    print(f"lines that did not parse: {files.unparsed_lines(orders)}")
     if args.only_valid:
+        # Items that are not of the type of an order's make it invalid.
+        orders = orders if args.infer else orders.filter("item_values is null or items is not null")
         orders = validate.only_valid(orders)
-    sold = items.resolve_items(orders)
+    sold = items.resolve_items(orders, "items" if args.infer else "item_values")
     hours = history.hourly_pattern(orders, densify=args.all_hours)
     report("Most sold items", history.top_items(sold), args.output)
     report("Restaurants by revenue", history.top_revenue_restaurants(orders), args.output)

@@ -41,6 +41,36 @@ def read_orders(
     )
 
 
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """Order history with items of any shape: :func:`read_orders` with ``item_values``, the items as VARIANT.
+
+    ``items`` holds the typed items; it is null if any item of the order is none. An item outside a list is a list of one.
+    """
+    fields = [T.StructField(f.name, T.VariantType()) if f.name == "items" else f for f in ORDER]
+    found = read_orders(spark, path, T.StructType(fields))
+    values = """coalesce(try_variant_get(items, '$', 'array<variant>'),
+        if(items is null or is_variant_null(items), null, array(items)))"""
+    typed = ORDER["items"].dataType.elementType
+    struct = ", ".join(f"'{f.name}', try_variant_get(x, '$.{f.name}', '{f.dataType.simpleString()}')" for f in typed)
+    of_type = """is_variant_null(x) or (schema_of_variant(x) like 'OBJECT%'
+        and coalesce(schema_of_variant(try_variant_get(x, '$.quantity', 'variant')) in ('BIGINT', 'VOID'), true)
+        and coalesce(schema_of_variant(try_variant_get(x, '$.unit_price', 'variant'))
+            rlike '^(BIGINT|DECIMAL|DOUBLE|VOID)', true))"""
+    found = found.withColumn("item_values", F.expr(values))
+    items = f"""if(forall(item_values, x -> {of_type}),
+        transform(item_values, x -> if(is_variant_null(x), null, named_struct({struct}))), null)"""
+    return found.withColumn("items", F.expr(items))
+
+
+def unparsed_lines(orders: DataFrame) -> int:
+    """How many lines of an order history the reader could not parse."""
+    if CORRUPT_COLUMN not in orders.columns:
+        return 0
+    # The reader refuses to be asked for that column alone.
+    others = [F.count(F.col(f"`{c}`")) for c in orders.columns if c != CORRUPT_COLUMN][:1]
+    return orders.agg(F.count(CORRUPT_COLUMN).alias("n"), *others).first().n
+
+
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
     """Restaurant listing by position: short rows are padded, long rows cut.
 

@@ -40,6 +40,27 @@ def test_history(spark, tmp_path, capsys, options):
     assert ("10.00" if "--only-valid" in options else "17.50") in printed
 
 
+@pytest.mark.parametrize("parquet", [False, True])
+def test_history_items_of_every_shape(spark, tmp_path, capsys, parquet):
+    shapes = [
+        {"food_item": "naan", "unit_price": 2.5, "quantity": "5"},
+        {"item_id": 7, "quantity": 2},
+        {"item_name": "dal", "quantity": 3.0},
+        {"label": "rice", "number": 4},
+        {"food_item": "tea", "unit_price": 9.0},
+        "naan",
+    ]
+    rows = [order(k, items=[item]) for k, item in enumerate(shapes)] + [order(8, items=["dal", {"item_name": "dal"}])]
+    source = lines(tmp_path / "in", rows)
+    with open(f"{source}/part.txt", "a") as file:
+        file.write("{broken\n")
+    output = str(tmp_path / "out")
+    main(["history", source, "--output", output, *(["--parquet", str(tmp_path / "pq")] if parquet else [])])
+    assert "lines that did not parse: 1" in capsys.readouterr().out
+    found = spark.read.parquet(f"{output}/most-sold-items")
+    assert {tuple(r) for r in found.collect()} == {("naan", 6), ("dal", 5), ("rice", 4), ("7", 2), ("tea", 1)}
+
+
 def test_history_as_parquet(spark, tmp_path, capsys):
     source = lines(tmp_path / "in", [order(1)])
     main(["history", source, "--parquet", str(tmp_path / "pq")])
