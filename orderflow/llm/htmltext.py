@@ -2,11 +2,13 @@
 
 A page is parsed leniently into a tree. Elements that are never part of an article go first: scripts,
 styles, menus, page headers and footers, sidebars, notices, adverts, forms, reader comments and hidden
-elements, by tag, role, and the words of class and id. Every paragraph left earns points, one and one for
+elements, by tag, role, and the words of class and id. A word is outweighed if no article or main element is in view and
+the element holds one, or has a name of content too, and holds more text than all in view. Every paragraph left earns points, one and one for
 each comma and up to three for its length. It passes them to its ancestors: all to its parent, half to the
 next, a third of that and less further up. An ancestor's points are discounted by the share of its text that is
 links. The best container is kept, widened to the article or main element around it, with those
-siblings that score a fifth of it or are paragraphs with few links. Lists of links within it go.
+siblings that score a fifth of it or have few links (beside other parts of a page itself: that are running text, headings,
+lists or tables with few links). Lists of links within it go.
 
 The text is that of the kept blocks in page order: character references decoded, white space in a block one
 space, blocks trimmed and joined by one space.
@@ -67,6 +69,7 @@ OUTSIDE = frozenset(
 #: The same, unless another word says it is one.
 PERHAPS_OUTSIDE = frozenset("banner header promo promotion related share sharing social teaser widget widgets".split())
 INSIDE = frozenset("article body content entry main page post story text".split())
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table".split())
 PARAGRAPHS = frozenset("p pre blockquote li td dd".split())
 _WORDS = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -74,10 +77,12 @@ _CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*$")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "outside", "points", "chars", "links", "anchors")
+    __slots__ = ("tag", "parent", "children", "outside", "named", "points", "chars", "links", "anchors")
 
     def __init__(self, tag: str, parent: Node | None, outside: bool = False):
         self.tag, self.parent, self.outside = tag, parent, outside
+        #: Outside by a word only: None, or whether another name of the element says it is inside.
+        self.named: bool | None = None
         self.children: list[Node | str] = []
         self.points, self.chars, self.links, self.anchors = 0.0, 0, 0, 0
 
@@ -98,9 +103,19 @@ def is_outside(tag: str, attributes: dict[str, str | None]) -> bool:
         return True
     if re.search(r"display\s*:\s*none", (attributes.get("style") or "").lower()):
         return True
+    return False
+
+
+def named_outside(tag: str, attributes: dict[str, str | None]) -> bool | None:
+    """None, or of an element whose class or id says it is no article, whether another one says it is."""
+    if tag in ("html", "body", "article", "main"):
+        return None
     named = f"{attributes.get('class') or ''} {attributes.get('id') or ''}"
-    words = set(_WORDS.findall(_CAMEL.sub(" ", named).lower()))
-    return bool(words & OUTSIDE) or bool(words & PERHAPS_OUTSIDE and not words & INSIDE)
+    tokens = [set(_WORDS.findall(_CAMEL.sub(" ", t).lower())) for t in named.split()]
+    words = set().union(*tokens)
+    if words & OUTSIDE or words & PERHAPS_OUTSIDE and not words & INSIDE:
+        return any(t and t <= INSIDE for t in tokens)
+    return None
 
 
 class Tree(HTMLParser):
@@ -135,8 +150,11 @@ class Tree(HTMLParser):
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
         node = Node(tag, self.open, is_outside(tag, dict(attrs)))
+        if not node.outside:
+            node.named = named_outside(tag, dict(attrs))
+            node.outside = node.named is not None
         if tag == "header" and not self.counts.get("article") and not self.counts.get("main"):
-            node.outside = True
+            node.outside, node.named = True, None
         self.open.children.append(node)
         if tag not in VOID:
             self.open = node
@@ -176,6 +194,47 @@ def in_order(top: Node) -> list[Node]:
     return found
 
 
+def unlinked(top: Node) -> int:
+    """Characters below ``top`` that are neither in links nor in elements that are outside for good or by a word."""
+    found, stack = 0, [top]
+    while stack:
+        for child in stack.pop().children:
+            if isinstance(child, str):
+                found += len("".join(child.split()))
+            elif not child.outside and child.tag != "a":
+                stack.append(child)
+    return found
+
+
+def release(root: Node) -> None:
+    """Lets in elements that only a word puts outside and that hold most of the page's text.
+
+    They must hold an article or main element, or be called content by another name as well; and only a page
+    without an article or main element in view is looked at. The names of elements within them are weighed anew.
+    """
+    while True:
+        nodes = in_order(root)
+        if any(n.tag in ("article", "main") and unlinked(n) for n in nodes):
+            return
+        shut = [c for n in nodes for c in n.children if isinstance(c, Node) and c.outside and c.named is not None]
+        best, most = None, unlinked(root)
+        for node in shut:
+            whole, inner, holds = 0, [node], bool(node.named)
+            while inner:
+                at = inner.pop()
+                holds = holds or at.tag in ("article", "main")
+                for c in at.children:
+                    if isinstance(c, str):
+                        whole += len("".join(c.split()))
+                    elif c.tag != "a" and (not c.outside or c.named is not None):
+                        inner.append(c)
+            if holds and whole > most:
+                best, most = node, whole
+        if best is None:
+            return
+        best.outside, best.named = False, None
+
+
 def trim_headers(nodes: list[Node]) -> None:
     """Of a header within an article only the headings stay."""
     for node in nodes:
@@ -239,7 +298,9 @@ def container(nodes: list[Node]) -> list[Node]:
     for child in best.parent.children:
         if isinstance(child, Node) and id(child) in worth:
             rich = child.points and worth[id(child)] >= SIBLING_SHARE * worth[id(best)]
-            plain = child.tag in ("p", "h1", "h2", "blockquote", "pre") and child.chars and child.link_density < 0.25
+            # In a content container all that has few links is content; beside other parts of a page, running text is.
+            within = best.parent.tag not in ("#root", "html", "body") or child.tag in RUNNING
+            plain = within and child.chars and child.link_density < 0.25
             if child is best or rich or (plain and best.tag not in ("article", "main")):
                 kept.append(child)
     return kept
@@ -267,6 +328,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    release(root)
     trim_headers(in_order(root))
     nodes = in_order(root)
     score(nodes)

@@ -377,6 +377,23 @@ def test_main_text(html, text):
     assert htmltext.main_text(html) == text
 
 
+LONG = "Words, more words, and then some more of them, to the end of it. " * 9
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<nav>m</nav><div class='content has-sidebar'><p>{LONG}</p></div>", LONG),
+        (f"<div id='page' class='no-sidebar'><div class='post comments-open'><p>{LONG}</p></div></div>", LONG),
+        (f"<div class='no-sidebar'><article><p>{LONG}</p></article><div class='sidebar'>x</div></div>", LONG),
+        (f"<article><p>One</p></article><div class='comments page'><article><p>{LONG}</p></article></div>", "One"),
+        (f"<div><div><p>{LONG}</p><p>{LONG}</p></div><div><p>Short</p></div><h3>H</h3><ul><li>I</li></ul></div>", f"{LONG}{LONG}Short H I"),
+    ],
+)
+def test_text_is_not_lost_by_a_word_or_few_points(html, text):
+    assert htmltext.main_text(html) == text.strip()
+
+
 def test_deep_and_long_pages():
     assert htmltext.main_text("<div><p>x" * 3000).count("x") == 3000
     assert len(htmltext.main_text(f"<p>{'word, ' * 200_000}</p>")) == 6 * 200_000 - 1
