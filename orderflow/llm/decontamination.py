@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash windows, multi-index Hamming blocks and exact similarity.
 
 A benchmark item of m words is looked for in every window of m consecutive words of every
-document. Words are in lower case, parted by white space and punctuation. A text's shingles are its
+document; a document of fewer words is one window, compared exactly. Words are in lower case, parted by white space and punctuation. A text's shingles are its
 runs of five words, counted; a text of fewer words is one shingle. An item is found in a
 window if the weighted Jaccard similarity of their counted shingles (sum of smaller counts over sum
 of larger counts) is 0.8 or more.
@@ -165,7 +165,10 @@ class Index:
                     hits.setdefault(place, []).append(start)
             shingles = shingle_ids(known, size) if hits else own
             for place in sorted(hits):
-                yield from self._search(place, np.array(hits[place]), shingles, len(known))
+                if self.groups[place][0] > len(known):
+                    yield from self._whole(place, shingles, len(known))
+                else:
+                    yield from self._search(place, np.array(hits[place]), shingles, len(known))
 
     def _search(self, place: int, hits: np.ndarray, shingles: np.ndarray, n_words: int) -> Iterator:
         m, size, places, counted, prints, filed = self.groups[place]
@@ -183,6 +186,18 @@ class Index:
             for item_id in self.items[places[j]][1]:
                 yield item_id, start, m, score
 
+    def _whole(self, place: int, shingles: np.ndarray, n_words: int) -> Iterator:
+        """Items of more words than the text, which is the one window."""
+        m, size, places, counted, _, _ = self.groups[place]
+        # Of so few shingles no more than all can be shared.
+        if len(shingles) / (m - size + 1) < SIMILARITY:
+            return
+        window = Counter(shingles.tolist())
+        for j, item in enumerate(counted):
+            if (score := similarity(window, item)) >= SIMILARITY:
+                for item_id in self.items[places[j]][1]:
+                    yield item_id, 0, n_words, score
+
     @staticmethod
     def _spans(hits: np.ndarray, reach: int, last: int) -> Iterator[tuple[int, int]]:
         """Runs of window starts whose windows hold a hit: joined, cut to the text."""

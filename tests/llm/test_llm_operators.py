@@ -207,6 +207,17 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, t in rows if not brute(t)}
 
 
+def test_documents_shorter_than_an_item_are_compared(spark):
+    rng = random.Random(10)
+    items = [(i, _sentence(rng, n)) for i, n in enumerate((15, 40, 40, 5))]
+    texts = [" ".join(items[0][1].split()[:14]), " ".join(items[1][1].split()[5:]), " ".join(items[2][1].split()[:30]), " ".join(items[3][1].split()[:4])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = [(r.doc_id, r.item_id, r.start_word, r.n_words) for r in decontamination.matches(docs, bench).collect()]
+    assert sorted(found) == [(0, 0, 0, 14), (1, 1, 0, 35)]
+    assert {r.doc_id for r in decontamination.remove_contaminated(docs, bench).collect()} == {2, 3}
+
+
 def test_blocks_hold_every_fingerprint_within_the_radius():
     index = decontamination.Index([(i, _sentence(random.Random(i), 12)) for i in range(40)])
     (_, _, _, _, prints, filed) = index.groups[0]
