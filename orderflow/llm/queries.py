@@ -15,9 +15,12 @@ from orderflow.llm import (
     htmltext,
     mixing,
     neardup,
+    phrases,
     quality,
     sharding,
+    spellings,
     substrings,
+    tokencounts,
     tokenfiles,
     toxicity,
 )
@@ -112,6 +115,22 @@ def op10_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many tokens each document has, and whether they pass 1,024."""
+    found = tokencounts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+    return found.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents, with the forms that variants go to."""
+    return spellings.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language by how much they exceed chance."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline, all stages."""
     import corpus_pipeline
@@ -130,6 +149,9 @@ QUERIES = (
     op8_quality_votes,
     op9_near_duplicates,
     op10_mixed_sources,
+    op11_token_counts,
+    op12_spelling_variants,
+    op13_collocations,
     pipeline,
 )
 
@@ -222,5 +244,40 @@ FROM ranked
 """
 
 
+_OP13 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs),
+worded AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded WHERE len(w) > 0),
+grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM starts, (SELECT unnest(range(1, 6)) AS m) WHERE i + m - 1 <= len(w)),
+counts AS (SELECT lang, m, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM worded GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m >= 2),
+held AS (
+  SELECT lang, phrase, max(a) AS over FROM (
+    SELECT lang, array_to_string(w[1:m - 1], ' ') AS phrase, a FROM candidates WHERE m > 2
+    UNION ALL SELECT lang, array_to_string(w[2:m], ' '), a FROM candidates WHERE m > 2) GROUP BY ALL),
+cuts AS (
+  SELECT c.*, k, x.f AS l, y.f AS r, n, 1000 * a * n // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:c.m], ' ')
+  JOIN totals t ON t.lang = c.lang),
+best AS (SELECT lang, phrase, a, l, r, n, score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+  FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.phrase = b.phrase
+  WHERE over IS NULL OR 100 * over < 100 * a)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_perspectives": _OP1, "op10_mixed_sources": _OP10}
+    return {"op1_chat_perspectives": _OP1, "op10_mixed_sources": _OP10, "op13_collocations": _OP13}
