@@ -127,6 +127,7 @@ class ModelPieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         named = (self.model.id_to_piece(i) for i in range(self.model.vocab_size()))
         self.words = not any("▁" in p.lstrip("▁") for p in named) and self.model.normalize("a") == "▁a"
+        self.words = self.words and len(self.model.encode("a")) == 1
         # A run of spaces is a piece of its own only if the model doesn't fold it.
         self.words = self.words and self.model.normalize("  a") == "▁▁▁a"
 
@@ -143,8 +144,13 @@ class ModelPieces:
         yield portion, 0
 
     def count(self, words: list[str]) -> list[int]:
-        # The model puts a space before every text, so the first one of a word is left to it.
-        return [len(x) for x in self.model.encode([w[1:].replace("▁", " ") for w in words])] if words else []
+        if not words:
+            return []
+        # The model puts a space before every text, so the first one of a word is left to it; spaces
+        # alone, which end a text, are counted behind a letter, which is one piece.
+        plain = [w.replace("▁", " ") for w in words]
+        found = self.model.encode([p[1:] if p.strip(" ") else "a" + p for p in plain])
+        return [len(x) - (not p.strip(" ")) for x, p in zip(found, plain, strict=True)]
 
 
 def slices(text: str) -> Iterator[str]:
