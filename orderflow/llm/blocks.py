@@ -38,14 +38,24 @@ def unpack(data: bytes, n: int, dtype: str = "<u4") -> np.ndarray:
     return np.frombuffer(plain, np.uint8).reshape(width, n).T.copy().view(dtype).reshape(n)
 
 
-def answered(blocks: DataFrame, words: DataFrame, facts: DataFrame, on: list[str], value: str) -> DataFrame:
-    """``blocks`` with ``places`` and ``values``: what ``facts`` knows of the words of each block's dictionary.
+#: Bits of an answer, beside which the place in the dictionary stands in one long.
+_BITS = 40
+#: Words that a block's dictionary may hold.
+LONGEST_DICTIONARY = 1 << (63 - _BITS)
 
-    ``words`` has one row per block and word (block, at, the columns ``on``). Words that ``facts`` doesn't
-    hold are left out. A block's answer is as long as its dictionary at most.
+
+def returned(blocks: DataFrame, answers: DataFrame, value: str) -> DataFrame:
+    """``blocks`` with ``answers``, for :func:`told`: those of (block, at, ``value``) that are not null.
+
+    A block's answer is as long as its dictionary at most. Values are below 2 ** 40.
     """
-    found = words.join(facts, on).groupBy("block").agg(F.collect_list(F.struct("at", value)).alias("found"))
-    joined = blocks.join(found, "block", "left")
-    return joined.select(
-        *blocks.columns, F.col("found.at").alias("places"), F.col(f"found.{value}").alias("values")
-    )
+    one = F.shiftleft(F.col("at").cast("long"), _BITS) + F.col(value)
+    found = answers.groupBy("block").agg(F.collect_list(one).alias("answers"))
+    return blocks.join(found, "block", "left")
+
+
+def told(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the dictionary of a block, and the answers for them."""
+    answers = batch.column("answers")[i]
+    found = answers.values.to_numpy(zero_copy_only=False) if answers.is_valid else np.zeros(0, np.int64)
+    return found >> _BITS, found & ((1 << _BITS) - 1)

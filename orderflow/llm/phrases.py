@@ -30,6 +30,7 @@ empty table gives an empty table; a table whose words all stay below the least c
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,13 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orderflow.llm.blocks import Numbers, answered, pack, unpack
+from orderflow.llm.blocks import LONGEST_DICTIONARY, Numbers, pack, returned, told, unpack
 from orderflow.llm.common import stored, text_of
 
 LONGEST = 5
 LEAST, TOP = 100, 2000
 #: Words of a block, and windows of a range, about.
-BLOCK, RANGE = 2_000_000, 2_000_000
+BLOCK, RANGE = 4_000_000, 2_000_000
+#: Windows of a block that are sorted at a time.
+_SORTED = 1_000_000
 #: Sampled windows per range.
 _PER_RANGE = 64
 SLICE = 1 << 20
@@ -75,7 +78,7 @@ class _Shard:
     def __init__(self, before: list[bytes] = ()):
         self.numbers = Numbers()
         self.numbers[_END] = 0
-        self.places = list(map(self.numbers.__getitem__, before))
+        self.places = array("I", map(self.numbers.__getitem__, before))
 
 
 def _shards(block: int) -> Callable:
@@ -142,12 +145,12 @@ def windows(numbers: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
     A window ends before a 0 and is filled up with 0; windows of nothing are left out.
     """
     padded = np.concatenate([numbers, np.zeros(LONGEST, numbers.dtype)])
-    columns, alive = [], np.ones(own, bool)
+    starts = np.flatnonzero(padded[:own])
+    rows = np.zeros((len(starts), LONGEST), numbers.dtype)
+    alive = np.ones(len(starts), bool)
     for k in range(LONGEST):
-        column = np.where(alive, padded[k : k + own], 0).astype(numbers.dtype)
-        alive = alive & (column > 0)
-        columns.append(column)
-    rows = np.stack(columns, axis=1)[columns[0] > 0]
+        rows[:, k] = np.where(alive, padded[starts + k], 0)
+        alive &= rows[:, k] > 0
     return summed(rows, np.ones(len(rows), np.int64))
 
 
@@ -243,9 +246,8 @@ def _numbered(batch: pa.RecordBatch, i: int, dtype: str) -> tuple[str, np.ndarra
     length, own = batch.column("length")[i].as_py(), batch.column("own")[i].as_py()
     local = unpack(batch.column("places")[i].as_py(), length)
     known = np.zeros(int(local.max(initial=0)) + 1, dtype)
-    at, ids = batch.column("at")[i], batch.column("ids")[i]
-    if at.is_valid:
-        known[at.values.to_numpy(zero_copy_only=False) + 1] = ids.values.to_numpy(zero_copy_only=False)
+    at, ids = told(batch, i)
+    known[at + 1] = ids
     return batch.column("lang")[i].as_py(), known[local], own
 
 
@@ -276,21 +278,26 @@ def _cut(dtype: str, ends: dict[str, np.ndarray]) -> Callable:
         for batch in batches:
             for i in range(batch.num_rows):
                 lang, numbers, own = _numbered(batch, i, dtype)
-                rows, counts = windows(numbers, own)
-                if not len(rows):
-                    continue
-                part = _ranges(rows, ends.get(lang, np.zeros((0, LONGEST), dtype)))
-                starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-                stops = [*starts[1:].tolist(), len(rows)]
-                arcs = [built(rows[a:b], counts[a:b]) for a, b in zip(starts.tolist(), stops, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(arcs)), pa.array(part[starts], pa.int32()), pa.array(arcs, pa.binary())],
-                    ["lang", "part", "arcs"],
-                )
+                for begin in range(0, own, _SORTED):
+                    size = min(_SORTED, own - begin)
+                    rows, counts = windows(numbers[begin : begin + size + LONGEST], size)
+                    if len(rows):
+                        yield _arcs(lang, rows, counts, ends.get(lang, np.zeros((0, LONGEST), dtype)))
 
     return cut
 
 
+def _arcs(lang: str, rows: np.ndarray, counts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+    part = _ranges(rows, ends)
+    starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    stops = [*starts[1:].tolist(), len(rows)]
+    arcs = [built(rows[a:b], counts[a:b]) for a, b in zip(starts.tolist(), stops, strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * len(arcs)), pa.array(part[starts], pa.int32()), pa.array(arcs, pa.binary())],
+        ["lang", "part", "arcs"],
+    )
+
+
 def _united(dtype: str, least: int) -> Callable:
     """Rows sorted by (lang, part): the phrases of each range and their counts there."""
 
@@ -388,6 +395,8 @@ def count_phrases(
     documents: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, block: int = BLOCK, size: int = RANGE
 ) -> tuple[DataFrame, DataFrame, int]:
     """All phrases (lang, key, f), f at least ``least``; the words (lang, word, f, n, id); bytes per word of a key."""
+    if block + SLICE > LONGEST_DICTIONARY:
+        raise ValueError(f"a block of {block} words is too long")
     rows = documents.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), text_of(text).alias("text"))
     blocks = stored(
         rows.mapInArrow(
@@ -407,11 +416,11 @@ def count_phrases(
     dtype = "<u4" if many < 1 << 32 else "<u8"
     # The dictionaries' words of a block; the answer is carried beside the block.
     asked = entries.select("block", "lang", "at", F.col("words").alias("word"))
-    narrow = blocks.select("block", "lang", "length", "own", F.col("places").alias("packed"))
-    known = answered(narrow, asked, words.select("lang", "word", "id"), ["lang", "word"], "id").select(
-        "block", "lang", "length", "own", F.col("packed").alias("places"), F.col("places").alias("at"), F.col("values").alias("ids")
-    )
-    known = stored(known, "numbered-blocks")
+    narrow = blocks.select("block", "lang", "length", "own", "places")
+    # A merge join at any size: words that stand in all blocks are one row per block, so neither side is short.
+    ids = words.select("lang", "word", "id").hint("merge")
+    answers = asked.join(ids, ["lang", "word"], "left").select("block", "at", "id")
+    known = stored(returned(narrow, answers, "id"), "numbered-blocks")
     ends = _range_ends(known, dtype, total, size)
     arcs = known.mapInArrow(_cut(dtype, ends), "lang string, part int, arcs binary")
     ranges = max(1, len(ends) + sum(map(len, ends.values())))

@@ -4,10 +4,14 @@ A tokenizer cuts a text into pre-tokens and each of these, by itself, into piece
 pre-token are counted once per distinct pre-token of the whole table, and the tokens of a document are
 the sum over its distinct pre-tokens of frequency times pieces.
 
+The table of piece counts has two parts. Entries of the tokenizer's own vocabulary are counted when a worker
+starts: their number is the tokenizer's, whatever the data, and most occurrences are of these. All other pre-tokens
+are counted once, in the task that all their occurrences are dealt to.
+
 Documents are read in blocks with a dictionary of their own (``blocks``): a block holds, per document,
-numbers of pre-tokens and their frequencies. The dictionaries of all blocks are joined with the table
-of piece counts, the answer goes back to the block, and the products are added up. A pre-token that stands
-in every document is one row per block in that join. A block ends at ``WORDS`` distinct pre-tokens
+numbers of pre-tokens and their frequencies. The dictionaries of all blocks are sorted by pre-token, each
+is counted when it is met first, the answer goes back to the blocks that hold it, and the products are added up. A
+pre-token that stands in every document is one row per block there. A block ends at ``WORDS`` distinct pre-tokens
 or ``ENTRIES`` frequencies; a document that passes this goes on in the next block, and its parts are added up.
 
 Tokenizers: ``.json`` files of the ``tokenizers`` library with any normalizer and pre-tokenizer, ``.model`` files of
@@ -37,11 +41,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.blocks import Numbers, answered, pack, unpack
+from orderflow.llm.blocks import Numbers, pack, returned, told, unpack
 from orderflow.llm.common import stored, text_of
 
 #: Distinct pre-tokens and frequencies of a block, about.
-WORDS, ENTRIES = 200_000, 1_000_000
+WORDS, ENTRIES = 500_000, 4_000_000
 #: Characters that are cut at a time.
 SLICE = 1 << 20
 #: Characters that are tried out when a worker starts: Latin, spaces and general punctuation.
@@ -73,8 +77,12 @@ class JsonPieces:
             and '"add_prefix_space":false' in kind
             and '"use_regex":true' in kind
         )
+        names = list(t.get_vocab())
         if self.byte_level:
             self._try_out()
+            texts = (t.decode([i], skip_special_tokens=False) for i in t.get_vocab().values())
+            names = [x for x in texts if x and not (self.special and self.special.search(x))]
+        self.known = dict(zip(names, self.count(names), strict=True))
 
     def _try_out(self) -> None:
         import regex
@@ -130,6 +138,8 @@ class ModelPieces:
         self.words = self.words and len(self.model.encode("a")) == 1
         # A run of spaces is a piece of its own only if the model doesn't fold it.
         self.words = self.words and self.model.normalize("  a") == "▁▁▁a"
+        names = [p for p in map(self.model.id_to_piece, range(self.model.vocab_size())) if p.startswith("▁")]
+        self.known = dict(zip(names, self.count(names), strict=True)) if self.words else {}
 
     def cut(self, text: str) -> Iterator[tuple[list[str], int]]:
         if not self.words:
@@ -175,6 +185,7 @@ def _survey(tokenizer: str) -> Callable:
         from pyspark import TaskContext
 
         cutter = pieces_of(tokenizer)
+        known = cutter.known
         base = TaskContext.get().partitionId() << 33
         row = made = 0
         words, parts, entries, kind = Numbers(), [], 0, None
@@ -188,7 +199,8 @@ def _survey(tokenizer: str) -> Callable:
                 "n_bytes": pa.array([[p[2] for p in parts]], pa.list_(pa.int64())),
                 "extra": pa.array([[p[3] for p in parts]], pa.list_(pa.int64())),
                 "sizes": pa.array([[len(p[4]) for p in parts]], pa.list_(pa.int32())),
-                "at": pa.array([pack(at)], pa.binary()),
+                # New words have the next numbers, so steps from one number to the next are mostly 1.
+                "at": pa.array([pack(np.diff(at, prepend=np.uint32(0)))], pa.binary()),
                 "freq": pa.array([pack(freq)], pa.binary()),
                 "words": pa.array([list(words)], pa.list_(pa.string())),
             }
@@ -200,9 +212,12 @@ def _survey(tokenizer: str) -> Callable:
                 number, n_bytes = base + row, len(text.encode("utf-8", "surrogatepass"))
                 for portion, extra in cutter.cut(text) if text else [([], 0)]:
                     counts = Counter(portion)
+                    for word in [w for w in counts if w in known]:
+                        extra += known[word] * counts.pop(word)
                     at = np.fromiter(map(words.__getitem__, counts), "<u4", len(counts))
                     freq = np.fromiter(counts.values(), "<u4", len(counts))
-                    parts.append((key, number, n_bytes, extra, at, freq))
+                    order = np.argsort(at)
+                    parts.append((key, number, n_bytes, extra, at[order], freq[order]))
                     n_bytes = 0
                     entries += len(counts) + 1
                     if len(words) >= WORDS or entries >= ENTRIES:
@@ -217,10 +232,20 @@ def _survey(tokenizer: str) -> Callable:
 
 
 def _pieces(tokenizer: str) -> Callable:
+    """Rows sorted by word: the pieces of each distinct word, given to every block that holds it."""
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: dict[str, int] = {}
         for batch in batches:
-            counts = pieces_of(tokenizer).count(batch.column("word").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(counts, pa.int32())], ["word", "pieces"])
+            words = batch.column("word").dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            new = [w for w in distinct if w not in last]
+            counts = last | dict(zip(new, pieces_of(tokenizer).count(new), strict=True))
+            found = np.array([counts[w] for w in distinct], np.int32)[words.indices.to_numpy()]
+            last = {w: counts[w] for w in batch.column("word")[-1:].to_pylist()}
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("at"), pa.array(found)], ["block", "at", "pieces"]
+            )
 
     return pieces
 
@@ -233,10 +258,11 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = int(sizes.sum())
             tokens = np.zeros(len(sizes), np.int64)
             if n:
-                places, values = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("places", "values"))
-                known = np.zeros(int(places.max()) + 1, np.int64)
+                places, values = told(batch, i)
+                known = np.zeros(len(places), np.int64)
                 known[places] = values
-                at, freq = (unpack(batch.column(c)[i].as_py(), n) for c in ("at", "freq"))
+                steps, freq = (unpack(batch.column(c)[i].as_py(), n) for c in ("at", "freq"))
+                at = np.cumsum(steps, dtype=np.uint32)
                 upto = np.concatenate(([0], np.cumsum(known[at] * freq.astype(np.int64))))
                 ends = np.cumsum(sizes)
                 tokens = upto[ends] - upto[ends - sizes]
@@ -260,8 +286,10 @@ def count_tokens(documents: DataFrame, tokenizer: str, key: str = "doc_id", text
         "token-blocks",
     )
     words = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    pieces = words.select("word").distinct().mapInArrow(_pieces(tokenizer), "word string, pieces int")
-    parts = answered(blocks.drop("words"), words, pieces, ["word"], "pieces").mapInArrow(
+    pieces = words.repartition("word").sortWithinPartitions("word").mapInArrow(
+        _pieces(tokenizer), "block long, at int, pieces int"
+    )
+    parts = returned(blocks.drop("words"), pieces, "pieces").mapInArrow(
         _summed, f"row long, key {kind}, n_bytes long, n_tokens long"
     )
     whole = parts.groupBy("row").agg(
