@@ -10,7 +10,7 @@ fold (crc32 of the id as text, modulo 4) is not 2. Folds 0 and 1 give lexicon an
 features from the lexicon of the other, so that no document is described by words that its own label
 put there. Fold 3 calibrates: the trees' probabilities are mapped to shares of toxic documents by
 isotonic regression. Trees and calibration are Spark MLlib's, trained on the executors; the driver
-gets the lexicon (``LEXICON`` words at most) and the model.
+gets the model and the lexicon: words of the sample, so bounded by it.
 
 Defined results: null and empty texts have zero rates and get the score of such a text; without labels
 of both classes every document gets the share of toxic labels, 0 if there are none; a document
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from orderflow.llm.common import stored, text_of
 
 HELD_OUT, CALIBRATION = 2, 3
-SAMPLE, LEXICON = 40_000, 5_000
+SAMPLE = 40_000
 THRESHOLD = 0.3
 TREES, DEPTH = 30, 4
 NEAR = 5
@@ -140,8 +140,6 @@ def learn_lexicons(training: DataFrame) -> dict[str, dict[str, tuple[float, bool
         chosen = (
             words.select("word", a.alias("a"), odds.alias("odds"))
             .filter(f"a >= {LEAST_DOCUMENTS} and odds >= {LEAST_LOG_ODDS}")
-            .orderBy(F.desc("a"), F.desc("odds"), "word")
-            .limit(LEXICON)
         )
         lexicons[name] = {r.word: (r.odds, r.a >= SURE_DOCUMENTS) for r in chosen.collect()}
     return lexicons
@@ -202,7 +200,8 @@ def training_rows(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE)
     share = min(1.0, sample / max(own.count(), 1))
     own = own.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
     texts = documents.select(F.col("doc_id").cast("long").alias("id"), text_of("text").alias("text"))
-    return stored(texts.join(own, "id").select("id", "fold", "toxic", "text"), "training")
+    # The labels are at most about ``sample`` narrow rows, so they go to the texts.
+    return stored(texts.join(F.broadcast(own), "id").select("id", "fold", "toxic", "text"), "training")
 
 
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -226,10 +225,6 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     return model
 
 
-
-
-
-
 def score(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
     model = train(documents, labels, sample)
