@@ -13,7 +13,7 @@ A file holds whole documents in ascending order of their ids:
     each level: the chunks (uint8), the bitmap (bits from the lowest, padded to 512 bits), the
     directory (uint64 per block).
 
-Documents are sorted by ranges of ids, a task encodes its range document by document and closes a
+Documents are sorted by ranges of ids (equal ids by a hash of their texts), a task encodes its range document by document and closes a
 file when it holds ``file_tokens`` tokens, so memory is bounded by a file and a document. Files are written
 under a temporary name and renamed; a task that runs again writes the same bytes to the same name. A
 manifest lists the files; the place of a file's first token is the sum of the tokens before it.
@@ -22,11 +22,13 @@ Files are reached through Arrow's file systems, so the folder may be on any stor
 Encoding: the tokenizer splits text into words before it merges bytes, and a space followed by a
 character that is no white space always starts a word. So a text is cut there, each distinct piece is encoded
 by the tokenizer and remembered (at most about 2 x ``_REMEMBERED`` pieces), and the text's ids are the pieces' ids
-in order: the same ids as those of the whole text, which the tests compare.
+in order: the same ids as those of the whole text, which the tests compare. Strings of added tokens in a text
+are one id each, as the library has it by default, and part the text like its ends; if an added token asks for more
+(stripping, whole words, normalised text), texts are encoded whole.
 
-Defined results: a null or empty text is only the end id; rows of equal ids stand in the order of their
-texts; a null document id comes first and is given back as null; an empty table gives no files and an empty
-result; other columns are not looked at; special tokens written out in a text are ordinary text.
+Defined results: a null or empty text is only the end id; rows of equal ids stand in the order of a hash of
+their texts; a null document id comes first and is given back as null; an empty table gives no files and an empty
+result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -47,6 +49,8 @@ from pyspark.sql import functions as F
 from orderflow.llm.common import shared_folder
 
 FILE_TOKENS = 4_000_000
+#: Files that a task reads, about.
+FILES_READ = 4
 END_ID = 0
 _MAGIC = b"DAC1"
 _BLOCK = 512
@@ -146,7 +150,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.whole = any(a.lstrip or a.rstrip or a.single_word or a.normalized for a in added.values())
+        self.added = {a.content: np.array([i], "<u4").tobytes() for i, a in added.items()}
+        names = sorted(self.added, key=len, reverse=True)
+        self.special = re.compile(f"({'|'.join(map(re.escape, names))})") if names else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -189,6 +197,22 @@ class Encoder:
             young[piece] = young[piece[:-1]] + self.marks[piece[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.whole:
+            return self._ids(texts)
+        if self.special is not None:
+            marked = {i: self.special.split(t) for i, t in enumerate(texts) if self.special.search(t)}
+            if marked:
+                plain = iter(self._encode([t for i, t in enumerate(texts) if i not in marked]))
+                return [self._joined(marked[i]) if i in marked else next(plain) for i in range(len(texts))]
+        return self._encode(texts)
+
+    def _joined(self, parts: list[str]) -> bytes:
+        """The ids of a text parted at strings of added tokens, which are every other part."""
+        plain = self._encode(parts[::2])
+        marks = [self.added[p] for p in parts[1::2]]
+        return b"".join(x for pair in zip(plain, [*marks, b""], strict=True) for x in pair)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [pieces(t) for t in texts]
         self._learn(set().union(*(c[1:] for c in cut)))
         known = self.young.__getitem__
@@ -289,7 +313,13 @@ def write_tokens(
         F.coalesce(F.col(key).cast("long"), F.lit(_NULL_ID)).alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    ranges = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # Rows of one id, and equal rows, which may stand in any order, are parted by the other range keys.
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    ranges = (
+        rows.repartitionByRange("id", "hash", F.monotonically_increasing_id())
+        .sortWithinPartitions("id", "hash", "text")
+        .select("id", "text")
+    )
     files = ranges.mapInPandas(_writer(folder, tokenizer, end_id, file_tokens), MANIFEST)
     files.write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
@@ -323,7 +353,9 @@ def _reader(folder: str, key: str):
 
 def read_documents(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
     """One row per document, from the files: the key, ``start``, ``n_tokens``, ``ids_crc32``."""
-    files = read_manifest(spark, folder).select("file", "base").repartition("file")
+    files = read_manifest(spark, folder).select("file", "base")
+    # A count of its own: the manifest is so small that one task would get it all.
+    files = files.repartition(-(-files.count() // FILES_READ) or 1, "file")
     return files.mapInPandas(_reader(folder, key), f"{key} long, start long, n_tokens long, ids_crc32 long")
 
 
