@@ -21,21 +21,24 @@ large at the last level holds documents that share a whole path; there each docu
 with its next ones in a hash order, and after the first linking all documents outside the node's main component
 with all that are not in their component, so no link between components is given up.
 
-Confirming. Links are confirmed on the full sets. Since only components are asked for, each document
-first confirms its best candidate among smaller ids; the confirmed links form a forest. Then
-all candidates between different trees of the forest are confirmed, and last those that join components in
-large nodes. A candidate inside one tree can't
-change the result and is not looked at. Components are found by hooking and pointer jumping over
+Confirming. Links are confirmed on the full sets. Since only components are asked for, a small node first
+names one candidate for each of its documents, the best among smaller ids, and each document
+confirms the best of these; the confirmed links form a forest. Then the other candidates between different trees of the
+forest are confirmed, and nodes that have more candidates than they named and documents of several trees are
+compared again, for candidates between trees alone; last come those that join components in
+large nodes. A candidate inside one tree can't change the result and is not named, so a group of near copies gives
+rows in proportion to its documents, not to its pairs. Components are found by hooking and pointer jumping over
 tables; nothing of the documents reaches the driver.
 
 Defined results: null and empty texts have an empty set, are linked with nothing and kept; a text of
 fewer words than a shingle is one shingle; rows of one id with different texts are documents of their own, each with
-the component of its text; a null id is one like another and stands before all, and so do rows with it; of a component one row
-is kept, so of rows with the same id and text one at most; an empty table gives an empty table; other columns are not looked at.
+the component of its text; a null id is one like another and stands before all, and so do rows with it; repeated
+rows of a component's first document are all marked as kept, while ``keep_first`` keeps one row of a component; an empty table gives an empty table; other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -165,41 +168,70 @@ def _nibbles(tokens: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(t, np.uint32) & np.uint32(15) for t in tokens]).astype(np.uint8)
 
 
-def _close_pairs(ids: np.ndarray, sketches: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
+def _close_pairs(ids: list[int], tokens: list[bytes], least: int) -> Iterator[tuple[int, int, int]]:
+    """(a, b, agree) of the pairs that may be linked, a < b."""
+    order = np.argsort(np.array(ids), kind="stable")
+    ids, sketches = np.array(ids)[order], _nibbles([tokens[i] for i in order])
     for k in range(1, len(ids)):
         agree = (sketches[:-k] == sketches[k:]).sum(axis=1)
         for i in np.flatnonzero(agree >= least).tolist():
             yield int(ids[i]), int(ids[i + k]), int(agree[i])
 
 
-def _compare_small(join: Join):
-    """Rows sorted by node: all pairs within a node that may be linked."""
+def _best(node: int, ids: list[int], tokens: list[bytes], join: Join) -> Iterator[tuple]:
+    """One candidate of each document, and the node itself if it has more than these."""
+    best: dict[int, tuple[int, int]] = {}
+    found = 0
+    for a, b, agree in _close_pairs(ids, tokens, join.agreement):
+        found += 1
+        best[b] = max(best.get(b, (0, 0)), (agree, -a))
+    for b, (agree, a) in best.items():
+        yield -a, b, agree, None
+    if found > len(best):
+        yield None, None, None, node
+
+
+def _crossing(node: int, ids: list[int], tokens: list[bytes], roots: list[int], join: Join) -> Iterator[tuple]:
+    """All candidates between documents of different roots."""
+    root = dict(zip(ids, roots, strict=True))
+    for a, b, agree in _close_pairs(ids, tokens, join.agreement):
+        if root[a] != root[b]:
+            yield a, b, agree, None
+
+
+def _compare_small(join: Join, crossing: bool = False):
+    """Rows sorted by node: the candidates that each node names."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, ids, tokens = None, [], []
-        out: list[tuple[int, int, int]] = []
+        names = ("id", "tokens", "root") if crossing else ("id", "tokens")
+        find = _crossing if crossing else _best
+        node, held = None, []
+        out: list[tuple] = []
 
         def close() -> None:
-            if len(ids) > 1:
-                order = np.argsort(np.array(ids), kind="stable")
-                out.extend(_close_pairs(np.array(ids)[order], _nibbles([tokens[i] for i in order]), join.agreement))
+            if len(held) > 1:
+                out.extend(find(node, *(list(x) for x in zip(*held, strict=True)), join))
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("node", "id", "tokens")]
-            for own, doc, sketch in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("node", *names)]
+            for own, *row in zip(*columns, strict=True):
                 if own != node:
                     close()
-                    node, ids, tokens = own, [], []
-                ids.append(doc)
-                tokens.append(sketch)
-            yield _pairs(out)
+                    node, held = own, []
+                held.append(row)
+            yield _named(out)
             out.clear()
         close()
-        yield _pairs(out)
+        yield _named(out)
 
     return compare
 
 
+def _named(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "agree", "node"])
+
+
 def _pairs(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     flat = np.array(rows, np.int64).reshape(-1, 3)
     return pa.RecordBatch.from_arrays([pa.array(flat[:, i]) for i in range(3)], ["a", "b", "agree"])
@@ -315,16 +347,20 @@ def branches(leaders: DataFrame, join: Join) -> tuple[list[DataFrame], DataFrame
     return small, None
 
 
-def compared(small: list[DataFrame], tokens: DataFrame, join: Join) -> DataFrame:
-    """Candidate pairs (a, b, agree), a < b, of the small nodes."""
-    rows = small[0]
-    for more in small[1:]:
-        rows = rows.unionByName(more)
+def compared(rows: DataFrame, tokens: DataFrame, join: Join, roots: DataFrame | None = None) -> DataFrame:
+    """What the small nodes (node, id) name: candidates (a, b, agree), a < b, and nodes that have more of them.
+
+    Without ``roots`` a node names one candidate per document; with them, all between different roots.
+    """
+    if roots is not None:
+        rows = rows.join(roots, "id", "left").select("node", "id", F.coalesce("root", "id").alias("root"))
+        several = rows.groupBy("node").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
+        rows = rows.join(several.select("node"), "node", "left_semi")
     return (
         rows.join(tokens, "id")
         .repartition("node")
         .sortWithinPartitions("node")
-        .mapInArrow(_compare_small(join), "a long, b long, agree long")
+        .mapInArrow(_compare_small(join, roots is not None), "a long, b long, agree long, node long")
     )
 
 
@@ -451,11 +487,15 @@ def links(documents: DataFrame, leaders: DataFrame, join: Join) -> DataFrame:
     """(id, root) of the leaders that are linked with a smaller one, directly or by others."""
     tokens = leaders.select("id", "tokens")
     small, large = branches(leaders, join)
-    found = compared(small, tokens, join)
+    rows = functools.reduce(DataFrame.unionByName, small)
+    named = stored(compared(rows, tokens, join), "named")
+    found, more = named.filter("node is null").drop("node"), named.filter("node is not null").select("node")
     if large is not None:
         found = found.unionByName(ring(large, tokens, join))
     pairs = stored(found.groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates")
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    several = stored(rows.join(more, "node", "left_semi"), "several")
+    ends = ends.unionByName(several.select("id"))
     if large is not None:
         ends = ends.unionByName(large.select("id"))
     # A class has the set of its first document; rows repeated of that give it again.
@@ -465,6 +505,8 @@ def links(documents: DataFrame, leaders: DataFrame, join: Join) -> DataFrame:
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a"))
     forest = confirmed(best.select("a", "b"), sets, join).select(F.col("b").alias("id"), F.col("a").alias("parent"))
     roots = joined_by(pairs, pointed(forest), sets, join)
+    left = compared(several, tokens, join, roots).select("a", "b").distinct()
+    roots = joined_by(stored(left, "crossing"), roots, sets, join)
     if large is not None:
         roots = merged(roots, across(large, roots, tokens, sets, join))
     return roots
@@ -487,14 +529,17 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(
     documents: DataFrame, key: str = "doc_id", text: str = "text", join: Join | None = None
 ) -> DataFrame:
-    """One row per row: the key, ``n_shingles``, ``component_id`` and ``kept``, true for one row of a component."""
+    """One row per row: the key, ``n_shingles``, ``component_id`` and ``kept``, true if that is the key's own."""
     join = join or Join()
     found = verdicts(_keyed(documents, F.col(key), text_of(text)), join)
 
     def outside(c: str):
         return F.expr(f"nullif({c}, {_NULL_ID})")
 
-    return found.select(outside("doc").alias(key), "n_shingles", outside("component").alias("component_id"), "kept")
+    kept = F.col("doc") == F.col("component")
+    return found.select(
+        outside("doc").alias(key), "n_shingles", outside("component").alias("component_id"), kept.alias("kept")
+    )
 
 
 def _keyed(documents: DataFrame, key: Column, text: Column, *more: Column) -> DataFrame:
