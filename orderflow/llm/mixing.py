@@ -102,30 +102,28 @@ def mix(
 ) -> DataFrame:
     """One row per document: ``row`` (its columns), ``size``, ``source_size``, ``target``, ``copies``.
 
-    ``size`` may give the size where the text was not kept. The rows are stored once, as three
-    passes read them and the last one moves them.
+    ``size`` may give the size where the text was not kept. Three passes read the rows: two sum up sizes
+    by source and cell, and only the last one moves rows, once, to their cells. What a source is given
+    comes to the rows by their cells, never by source.
     """
     row = F.col("row")
     size = size if size is not None else F.size(words_of(text_of(row[text]))).cast("long")
-    sized = stored(
-        packed(documents).select(
-            "row",
-            size.alias("size"),
-            F.when(row[source].isNull(), "n").otherwise(F.concat(F.lit("s"), row[source])).alias("source_key"),
-            row[source].alias("source"),
-            row[key].alias("key"),
-            F.md5(F.concat_ws(" ", F.lit(seed), row[key].cast("string"))).alias("hash"),
-        ),
-        "sized",
+    sized = packed(documents).select(
+        "row",
+        size.alias("size"),
+        F.when(row[source].isNull(), "n").otherwise(F.concat(F.lit("s"), row[source])).alias("source_key"),
+        row[source].alias("source"),
+        row[key].alias("key"),
+        F.md5(F.concat_ws(" ", F.lit(seed), row[key].cast("string"))).alias("hash"),
     )
-    targets = source_targets(sized, seed)
+    targets = stored(source_targets(sized.drop("row"), seed), "targets")
+    n_all = targets.agg(F.max("n_all")).first()[0] or 0
     bits = "length(bin(size))"
     placed = (
-        sized.join(targets, "source_key")
-        .withColumn("class", F.expr(f"{bits} * 8 + (shiftright(size * 16, {bits}) & 7)"))
+        sized.withColumn("class", F.expr(f"{bits} * 8 + (shiftright(size * 16, {bits}) & 7)"))
         .withColumn(
             "block",
-            F.expr(f"pmod(cast(conv(substr(hash, 9, 7), 16, 10) as bigint), 1 + n_all div {block_rows})"),
+            F.expr(f"pmod(cast(conv(substr(hash, 9, 7), 16, 10) as bigint), 1 + {n_all} div {block_rows})"),
         )
     )
     cell = ["source_key", "class", "block"]
@@ -134,6 +132,7 @@ def mix(
         W.partitionBy("source_key").orderBy("class", "block").rowsBetween(W.unboundedPreceding, -1)
     )
     starts = cells.select(*cell, F.coalesce(F.sum("n_cell").over(earlier), F.lit(0)).alias("start"))
+    starts = stored(starts.join(targets.drop("n_all"), "source_key"), "cells")
     order = W.partitionBy(*cell).orderBy("size", "hash", "key")
     ranked = placed.join(starts, cell).withColumn("k", F.col("start") + F.row_number().over(order))
     dec = "cast({} as decimal(38,0))"
