@@ -8,12 +8,12 @@ import pytest
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from orderflow.operators import history, items, normalize
+from orderflow.plans import catalog
 from orderflow.plans import restaurant_reports as reports
 from orderflow.sinks.workspace import workspace
 
-QUERIES = contract.queries()
+QUERIES = catalog.queries()
 
 
 def plan_of(df, mode="formatted"):
@@ -26,7 +26,7 @@ def plan_of(df, mode="formatted"):
 @pytest.mark.parametrize("name", QUERIES)
 def test_no_python_no_cross_join(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
-    for node in ("PythonUDF", "ArrowEval", "BatchEvalPython", "InPandas", "CartesianProduct"):
+    for node in ("PythonUDF", "ArrowEval", "BatchEvalPython", "InPandas", "InArrow", "CartesianProduct"):
         assert node not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
@@ -62,7 +62,7 @@ def test_reports_shuffle_metrics_by_restaurant_only(spark, sf_dir, tmp_path):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        staging = contract.catalog.sample_tables.listing(spark, sf_dir)
+        staging = catalog.sample_tables.listing(spark, sf_dir)
         venues = normalize.restaurants(staging)
         stored = {}
         for name, df in {
@@ -84,7 +84,7 @@ def test_reports_shuffle_metrics_by_restaurant_only(spark, sf_dir, tmp_path):
 
 @pytest.mark.parametrize("partitions", [1, 4, 17])
 def test_results_do_not_depend_on_partitions(spark, sf_dir, partitions):
-    orders = contract.catalog.sample_tables.orders(spark, sf_dir)
+    orders = catalog.sample_tables.orders(spark, sf_dir)
     spread = orders.repartition(partitions)
     for report in (history.top_revenue_restaurants, history.city_revenue, history.channel_leaders):
         assert report(spread).collect() == report(orders).collect()
