@@ -113,13 +113,16 @@ def run_fraud(spark: SparkSession, args: argparse.Namespace) -> None:
     spark.streams.addListener(ProgressLog())
     spark.streams.resetTerminated()
     alerts = jobs.detect_fraud(_messages(spark, args, "latest"), WINDOWS[args.windows])
-    if args.console:
+    if args.console and args.servers:
         sinks.console_output(fraud.alert_messages(alerts)).start()
     if args.servers:
         messages = fraud.alert_messages(alerts, args.with_window)
         writer = sinks.kafka_output(
             messages, args.servers, args.checkpoint, args.target, "update", args.available_now
         )
+    elif args.console:
+        shown = sinks.to_console(fraud.alert_messages)
+        writer = sinks.update_outputs(alerts, args.target, args.checkpoint, shown, args.available_now)
     else:
         writer = sinks.update_output(alerts, args.target, args.checkpoint, args.available_now)
     writer.start()

@@ -237,6 +237,17 @@ def fraud_alert_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fraud.alert_messages(fraud_alerts_batch(spark, sf_dir))
 
 
+def fraud_alerts_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts over messages some of which name no user, have no time or can't be read."""
+    messages = sample_tables.event_messages(sample_tables.table(spark, sf_dir, "events"))
+    return fraud.fraud_alerts(fraud.with_event_time(fraud.parse_orders(messages)), SAMPLE_WINDOWS)
+
+
+def fraud_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of these messages the rules do not see, and why."""
+    return fraud.left_out(sample_tables.event_messages(sample_tables.table(spark, sf_dir, "events")))
+
+
 def fraud_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of a streaming query over order messages, last state of each."""
     schema = sample_tables.table(spark, sf_dir, "events").schema
@@ -304,6 +315,8 @@ def _registered() -> dict[str, Query]:
         "fraud_alerts_batch": fraud_alerts_batch,
         "fraud_alert_payload": fraud_alert_payload,
         "fraud_alerts_stream": fraud_alerts_stream,
+        "fraud_alerts_messages": fraud_alerts_messages,
+        "fraud_left_out": fraud_left_out,
         # restaurant dimension
         "restaurant_dimension": restaurant_dimension,
         "restaurants_by_city": lambda s, d: dimension.restaurants_by_city(

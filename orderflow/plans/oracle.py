@@ -160,6 +160,11 @@ velocity AS (
 alerts AS (SELECT * FROM geo UNION ALL SELECT * FROM velocity)"""
 )
 
+_SOUND_ALERTS = _ALERTS.replace(
+    "FROM events",
+    "FROM events WHERE event_id % 7 <> 3 AND event_id % 11 <> 5 AND event_id % 13 <> 1",
+)
+
 _LISTING = (
     _LINES
     + """,
@@ -549,6 +554,11 @@ def oracle_sql() -> dict[str, str]:
                 || '","trigger_reason":"' || trigger_reason || '"}' AS value FROM alerts""",
         ),
         "fraud_alerts_stream": _with(_ALERTS, f"SELECT {alerts} FROM alerts"),
+        "fraud_alerts_messages": _with(_SOUND_ALERTS, f"SELECT {alerts} FROM alerts"),
+        "fraud_left_out": """SELECT reason, count(*) AS message_count FROM (
+            SELECT CASE WHEN event_id % 13 = 1 THEN 'unreadable' WHEN event_id % 7 = 3 THEN 'no user'
+                WHEN event_id % 11 = 5 THEN 'no time' END AS reason FROM events)
+            WHERE reason IS NOT NULL GROUP BY reason""",
         "restaurant_dimension": _with(_DIMENSION, "SELECT * FROM dimension"),
         "restaurants_by_city": _with(
             _DIMENSION, "SELECT city, count(*) AS restaurant_count FROM dimension GROUP BY city"

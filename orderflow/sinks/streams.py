@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -68,6 +70,45 @@ def update_output(
     return _trigger(writer, available_now)
 
 
+def update_outputs(
+    updates: DataFrame,
+    path: str,
+    checkpoint: str,
+    also: Callable[[DataFrame, int], None],
+    available_now: bool = False,
+) -> DataStreamWriter:
+    """:func:`update_output` and a second output of the same query: the source is read and aggregated once.
+
+    The batch is kept while both are written. Its files are written last: a micro-batch that failed before is
+    repeated as a whole, so ``also`` gets the same batch under the same id again and must overwrite by id.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            also(batch, batch_id)
+            batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = (
+        updates.writeStream.outputMode("update")
+        .foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _trigger(writer, available_now)
+
+
+def to_console(messages: Callable[[DataFrame], DataFrame], rows: int = 20) -> Callable[[DataFrame, int], None]:
+    """A second output for :func:`update_outputs` that shows each batch on the driver's console."""
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        messages(batch).show(rows, truncate=False)
+
+    return show
+
+
 def console_output(messages: DataFrame, mode: str = "update") -> DataStreamWriter:
     """Messages on the driver's console. A second query: it repeats all the work."""
     return messages.writeStream.format("console").outputMode(mode).option("truncate", "false")

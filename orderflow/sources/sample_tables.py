@@ -110,6 +110,21 @@ def event_orders(events: DataFrame) -> DataFrame:
     )
 
 
+def event_messages(events: DataFrame) -> DataFrame:
+    """Timed orders as JSON messages; some name no user, have no readable time or are cut short."""
+    orders = event_orders(events).withColumn("number", F.col("order_id").cast("long"))
+    faulty = orders.selectExpr(
+        "number",
+        "order_id",
+        "if(number % 7 = 3, null, user_id) as user_id",
+        "restaurant_city",
+        "if(number % 11 = 5, 'soon', order_time) as order_time",
+    )
+    text = F.to_json(F.struct("order_id", "user_id", "restaurant_city", "order_time"))
+    cut = F.expr("if(number % 13 = 1, left(text, length(text) - 1), text)")
+    return faulty.select("number", text.alias("text")).select(cut.alias("value"))
+
+
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat restaurant listing: 14 text columns, one row per line item."""
     return _lines(spark, sf_dir).selectExpr(

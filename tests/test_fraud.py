@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators import fraud, validate
 from orderflow.plans.catalog import SAMPLE_WINDOWS
-from orderflow.sinks.streams import console_output, file_output, kafka_output, update_output
+from orderflow.sinks.streams import console_output, file_output, kafka_output, update_output, update_outputs
 from orderflow.sources import streams
 from orderflow.sources.files import read_messages
 from orderflow.streaming import jobs
@@ -279,3 +279,77 @@ def test_failures_are_logged(spark, tmp_path, caplog):
         assert "sink is gone" in caplog.text
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_orders_without_a_user_raise_no_alert(spark):
+    rows = [message(1, None, 0), message(2, None, 1, "south"), *[message(n, None, n) for n in range(3, 12)]]
+    assert keys(alerts_of(spark, rows)) == []
+    rows += ["{broken", "[1]", "7", "", message(30, "u", 0, order_time="soon"), message(31, "u", 0)]
+    messages = spark.createDataFrame([(r,) for r in [*rows, None]], "value string")
+    found = {r.reason: r.message_count for r in fraud.left_out(messages).collect()}
+    assert found == {"unreadable": 5, "no user": 11, "no time": 1}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_panes_give_the_alerts_of_windows(spark, seed):
+    draw = random.Random(seed)
+    spans = []
+    for _ in range(2):
+        slide = draw.choice([7, 10, 15, 20])
+        spans += [f"{slide * draw.randrange(1, 4) + draw.choice([0, 5, 3])} minutes", f"{slide} minutes"]
+    windows = fraud.Windows(*spans, threshold=3)
+    users = ["hot"] * 4 + [f"u{n}" for n in range(6)] + [None]
+    values = [
+        message(None if n % 50 == 7 else n, draw.choice(users), draw.uniform(-90, 200), draw.choice(["a", "b", None]))
+        for n in range(250)
+    ]
+    rows = spark.createDataFrame([(v,) for v in [*values, *values[:9]]], "value string")
+    orders = fraud.with_event_time(fraud.parse_orders(rows))
+    apart = fraud.geo_impossible(orders, windows.geo_size, windows.geo_slide).unionByName(
+        fraud.velocity_spam(orders, windows.velocity_size, windows.velocity_slide, windows.threshold)
+    )
+    together = fraud.fraud_alerts(orders, windows)
+    assert together.columns == apart.columns and together.dtypes == apart.dtypes
+    assert sorted(map(str, together.collect())) == sorted(map(str, apart.collect()))
+    assert apart.count() > 5
+
+
+def test_both_rules_share_one_scan(spark, sf_dir):
+    from orderflow.plans import catalog
+    from test_plans import plan_of
+
+    plan = plan_of(catalog.queries()["fraud_alerts_batch"](spark, sf_dir), "simple")
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 2 and "Expand" not in plan
+
+
+def test_spans():
+    assert fraud.micros("30 minutes") == 1_800_000_000
+    assert fraud.micros("1 hour 30 minutes") == 5_400_000_000
+    assert fraud.micros("1 Second") == 1_000_000
+    for wrong in ("", "1 month", "minutes", "5", "-1 minutes"):
+        with pytest.raises(ValueError, match="span"):
+            fraud.micros(wrong)
+
+
+def test_one_query_feeds_two_outputs(spark, tmp_path):
+    source, seen = tmp_path / "in", []
+    source.mkdir()
+    (source / "a.txt").write_text("\n".join([message(1, "u", 0), message(2, "u", 1, "south")]))
+    alerts = jobs.detect_fraud(streams.text_messages(spark, str(source)), WINDOWS)
+
+    def also(batch, batch_id):
+        seen.append((batch_id, sorted(r.user_id for r in batch.collect())))
+        if len(seen) == 1:
+            raise RuntimeError("stopped in the middle of a batch")
+
+    def start():
+        path, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+        return update_outputs(alerts, path, checkpoint, also, available_now=True).start()
+
+    with pytest.raises(Exception, match="stopped in the middle"):
+        start().awaitTermination()
+    run = start()
+    run.awaitTermination()
+    assert [s for s in seen if s[1]] == [(0, ["u"] * 3), (0, ["u"] * 3)]
+    assert sum(p["numInputRows"] for p in run.recentProgress) in (2, 4)
+    assert spark.read.parquet(str(tmp_path / "out")).filter("batch_id = 0").count() == 3
