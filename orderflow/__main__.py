@@ -61,7 +61,7 @@ def run_history(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
     """Listing to locations, restaurants and metrics."""
-    staging = tables.land(files.read_listing(spark, args.csv), f"{args.root}/staging/{args.run_id}")
+    staging = tables.land(files.read_listing_ranges(spark, args.csv), f"{args.root}/staging/{args.run_id}")
     show("Audit", audit.load_audit(staging))
     result = tables.load_listing(staging, args.root, args.run_id, args.match)
     for table, rows in result.rows.items():

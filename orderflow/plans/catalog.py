@@ -121,6 +121,18 @@ def staging_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land(files.read_listing(spark, path), workspace(spark, "staging"))
 
 
+def csv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing written as one CSV file and read by byte ranges of 1 MB."""
+    path = workspace(spark, "listing-one-csv")
+    files.write_listing(sample_tables.listing(spark, sf_dir).coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        return land(files.read_listing_ranges(spark, path), workspace(spark, "ranges"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def normalize_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.locations(sample_tables.listing(spark, sf_dir))
 
@@ -289,6 +301,7 @@ def _registered() -> dict[str, Query]:
         "orders_json_scan": orders_json_scan,
         # restaurant tables
         "staging_scan": staging_scan,
+        "csv_ranges": csv_ranges,
         "normalize_locations": normalize_locations,
         "normalize_restaurants": normalize_restaurants,
         "normalize_metrics": normalize_metrics,

@@ -202,6 +202,12 @@ listing AS (
 )
 
 
+_LISTING_ROWS = """SELECT address, name, online_order, book_table, rate, votes, phone, location,
+    rest_type, cuisines, cost AS "approx_cost(for two people)", menu_item,
+    listed_in_type AS "listed_in(type)", city AS "listed_in(city)"
+FROM listing"""
+
+
 def _id(*columns: str) -> str:
     """The stable key over text columns."""
     parts = [f"coalesce(length({c}) || ':' || {c}, '-')" for c in columns]
@@ -427,13 +433,8 @@ def oracle_sql() -> dict[str, str]:
                 is_cut OR is_mistyped AS is_corrupt
             FROM scanned""",
         ),
-        "staging_scan": _with(
-            _LISTING,
-            """SELECT address, name, online_order, book_table, rate, votes, phone, location,
-                rest_type, cuisines, cost AS "approx_cost(for two people)", menu_item,
-                listed_in_type AS "listed_in(type)", city AS "listed_in(city)"
-            FROM listing""",
-        ),
+        "staging_scan": _with(_LISTING, _LISTING_ROWS),
+        "csv_ranges": _with(_LISTING, _LISTING_ROWS),
         "normalize_locations": _with(_TABLES, "SELECT * FROM locations"),
         "normalize_restaurants": _with(
             _TABLES, "SELECT * FROM restaurants JOIN locations USING (location_id)"

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from orderflow.constants import LISTING_COLUMNS
 from orderflow.schemas import CORRUPT_COLUMN, LISTING, ORDER
+from orderflow.sources.csv_ranges import read_csv_ranges
 
 _CSV = {
     "header": "true",
@@ -75,12 +76,17 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     """Restaurant listing by position: short rows are padded, long rows cut.
 
     Quoted line breaks keep a CSV file from being split, so each file is one
-    task. Land it as Parquet once (:func:`orderflow.sinks.tables.land`) and
-    work from there.
+    task; :func:`read_listing_ranges` reads large files in many. Land it as Parquet
+    once (:func:`orderflow.sinks.tables.land`) and work from there.
     """
     return spark.read.schema(LISTING).options(**_CSV).csv(path)
 
 
+def read_listing_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`read_listing` by byte ranges: the same rows, a large file by many tasks."""
+    return read_csv_ranges(spark, path, LISTING, _CSV)
+
+
 def write_listing(listing: DataFrame, path: str) -> None:
     """The listing as CSV files that :func:`read_listing` reads back unchanged."""
     keep_blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -88,14 +94,29 @@ def write_listing(listing: DataFrame, path: str) -> None:
 
 
 def read_listing_by_header(spark: SparkSession, path: str) -> DataFrame:
-    """Restaurant listing by header name, in any column order, all text."""
-    found = spark.read.options(**_CSV).csv(path)
-    return found.select(
-        *[
-            F.col(name) if name in found.columns else F.lit(None).cast("string").alias(name)
-            for name in LISTING_COLUMNS
-        ]
+    """Restaurant listing by header name, in any column order, all text.
+
+    Files may differ in their headers: files of one header are read together, each group by its own names.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    placed = lines.filter(r"value rlike '[^\\r]'").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        "value",
     )
+    headers = placed.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = headers.groupBy(F.rtrim("header").alias("header")).agg(F.collect_list("file").alias("files")).collect()
+    found = None
+    for _, files in sorted(groups):
+        part = spark.read.options(**_CSV).csv(sorted(files))
+        part = part.select(
+            *[
+                F.col(f"`{name}`") if name in part.columns else F.lit(None).cast("string").alias(name)
+                for name in LISTING_COLUMNS
+            ]
+        )
+        found = part if found is None else found.unionByName(part)
+    return spark.createDataFrame([], LISTING) if found is None else found
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
