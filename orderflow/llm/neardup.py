@@ -23,10 +23,9 @@ with all that are not in their component, so no link between components is given
 
 Confirming. Links are confirmed on the full sets. Since only components are asked for, a small node first
 names one candidate for each of its documents, the best among smaller ids, and each document
-confirms the best of these; the confirmed links form a forest. Then the other candidates between different trees of the
-forest are confirmed, and nodes that have more candidates than they named and documents of several trees are
-compared again, for candidates between trees alone; last come those that join components in
-large nodes. A candidate inside one tree can't change the result and is not named, so a group of near copies gives
+confirms the best of these; the confirmed links form a forest. Then nodes that have candidates and documents of
+several trees are compared again, for candidates between trees alone, which are confirmed; last come those that join
+components in large nodes. A candidate inside one tree can't change the result and is not named, so a group of near copies gives
 rows in proportion to its documents, not to its pairs. Components are found by hooking and pointer jumping over
 tables; nothing of the documents reaches the driver.
 
@@ -179,15 +178,17 @@ def _close_pairs(ids: list[int], tokens: list[bytes], least: int) -> Iterator[tu
 
 
 def _best(node: int, ids: list[int], tokens: list[bytes], join: Join) -> Iterator[tuple]:
-    """One candidate of each document, and the node itself if it has more than these."""
+    """One candidate of each document, other documents that have some, and the node itself if there are any."""
     best: dict[int, tuple[int, int]] = {}
-    found = 0
+    least = set()
     for a, b, agree in _close_pairs(ids, tokens, join.agreement):
-        found += 1
+        least.add(a)
         best[b] = max(best.get(b, (0, 0)), (agree, -a))
     for b, (agree, a) in best.items():
         yield -a, b, agree, None
-    if found > len(best):
+    for a in least - best.keys():
+        yield None, a, None, None
+    if best:
         yield None, None, None, node
 
 
@@ -348,7 +349,7 @@ def branches(leaders: DataFrame, join: Join) -> tuple[list[DataFrame], DataFrame
 
 
 def compared(rows: DataFrame, tokens: DataFrame, join: Join, roots: DataFrame | None = None) -> DataFrame:
-    """What the small nodes (node, id) name: candidates (a, b, agree), a < b, and nodes that have more of them.
+    """What the small nodes (node, id) name: candidates (a, b, agree), a < b, and the nodes that have some.
 
     Without ``roots`` a node names one candidate per document; with them, all between different roots.
     """
@@ -489,22 +490,23 @@ def links(documents: DataFrame, leaders: DataFrame, join: Join) -> DataFrame:
     small, large = branches(leaders, join)
     rows = functools.reduce(DataFrame.unionByName, small)
     named = stored(compared(rows, tokens, join), "named")
-    found, more = named.filter("node is null").drop("node"), named.filter("node is not null").select("node")
+    found, met = named.filter("a is not null").drop("node"), named.filter("node is not null").select("node")
     if large is not None:
         found = found.unionByName(ring(large, tokens, join))
-    pairs = stored(found.groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates")
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    several = stored(rows.join(more, "node", "left_semi"), "several")
-    ends = ends.unionByName(several.select("id"))
+    # One row per document; all other candidates are met again between the trees that these give.
+    best = found.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a")).select("a", "b")
+    best = stored(best, "candidates")
+    ends = best.select(F.col("a").alias("id")).unionByName(best.select(F.col("b").alias("id")))
+    ends = ends.unionByName(named.filter("b is not null").select(F.col("b").alias("id")))
+    several = stored(rows.join(met, "node", "left_semi"), "several")
     if large is not None:
         ends = ends.unionByName(large.select("id"))
     # A class has the set of its first document; rows repeated of that give it again.
     wanted = leaders.select("id", "doc", "tag").join(ends.distinct(), "id", "left_semi")
     wanted = documents.select("doc", "tag", "text").join(wanted, ["doc", "tag"]).select("id", "text")
     sets = stored(wanted.mapInArrow(_sets(join.shingle), "id long, set binary").distinct(), "sets")
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a"))
-    forest = confirmed(best.select("a", "b"), sets, join).select(F.col("b").alias("id"), F.col("a").alias("parent"))
-    roots = joined_by(pairs, pointed(forest), sets, join)
+    forest = confirmed(best, sets, join).select(F.col("b").alias("id"), F.col("a").alias("parent"))
+    roots = pointed(forest)
     left = compared(several, tokens, join, roots).select("a", "b").distinct()
     roots = joined_by(stored(left, "crossing"), roots, sets, join)
     if large is not None:
