@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from orderflow import schemas
 from orderflow.operators import normalize
+from orderflow.sinks import keyindex
+from orderflow.sinks.claims import create_new
 
 TABLES = {
     "locations": ("location_id", schemas.LOCATIONS),
     "restaurants": ("restaurant_id", schemas.RESTAURANTS),
     "metrics": ("metric_id", schemas.METRICS),
 }
-_PUBLISHED = T.StructType([T.StructField("run_id", T.StringType())])
+_PUBLISHED = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("folder", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("compacted", T.BooleanType()),
+    ]
+)
 
 
 def land(df: DataFrame, path: str) -> DataFrame:
@@ -26,24 +38,39 @@ def land(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def published_runs(spark: SparkSession, root: str) -> list[str]:
-    """Ids of the loads that completed; one short text per load."""
+def published_log(spark: SparkSession, root: str) -> list[Row]:
+    """The completed loads in the order of their publication; one short record per load.
+
+    Records of earlier versions of this package have a ``run_id`` only, and come first.
+    """
     try:
-        runs = spark.read.schema(_PUBLISHED).json(f"{root}/published")
-        return sorted(row.run_id for row in runs.distinct().collect())
+        found = spark.read.schema(_PUBLISHED).json(f"{root}/published").distinct().collect()
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return []
         raise
+    return sorted(found, key=lambda row: (row.version or 0, row.run_id))
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A table as of its published loads."""
+def published_runs(spark: SparkSession, root: str) -> list[str]:
+    """Ids of the loads that completed."""
+    return sorted(row.run_id for row in published_log(spark, root))
+
+
+def _folder(root: str, row: Row) -> str:
+    return f"{root}/{row.folder or f'run={row.run_id}'}"
+
+
+def _rows_of(spark: SparkSession, root: str, table: str, log: list[Row]) -> DataFrame:
     schema = TABLES[table][1]
-    paths = [f"{root}/run={run}/{table}" for run in published_runs(spark, root)]
-    if not paths:
+    if not log:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
+    return spark.read.schema(schema).parquet(*[f"{_folder(root, row)}/{table}" for row in log])
+
+
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table as of its published loads."""
+    return _rows_of(spark, root, table, published_log(spark, root))
 
 
 @dataclass(frozen=True)
@@ -52,39 +79,88 @@ class LoadResult:
     rows: dict[str, int]
 
 
-def load_listing(staging: DataFrame, root: str, run_id: str, match: str = "venue") -> LoadResult:
+def load_listing(
+    staging: DataFrame,
+    root: str,
+    run_id: str,
+    match: str = "venue",
+    buckets: int | None = None,
+    compact_after: int = 8,
+) -> LoadResult:
     """Normalise a landed listing and add what is new to the three tables.
 
-    Every load writes only its new rows, to a folder of its own. Readers look
-    at published loads only, and publishing, one small append, comes last: a
-    load that fails halfway leaves nothing to see, and its repetition under
-    the same ``run_id`` overwrites it. Loading the same listing twice adds
+    Every load writes only its new rows, to a folder of its own, and the keys
+    of these rows to an index in ``buckets`` hash buckets, in which the next
+    loads look for their own keys. The first load sets their number, by default
+    the number of shuffle partitions. Every ``compact_after`` loads the index is
+    written anew as a whole, so a load reads at most that many. Readers look at
+    published loads only, and publishing, one small file, comes last: a load
+    that fails halfway leaves nothing to see and can be repeated under its
+    ``run_id``; its folder may be deleted. Loading the same listing twice adds
     nothing. Row counts are taken while writing.
+
+    Loads may run at once. Publishing creates the file of the next version,
+    which only one of them can; the others start again from the tables that
+    include it, so a new row is published once.
     """
     spark = staging.sparkSession
-    earlier = published_runs(spark, root)
-    if run_id in earlier:
-        raise ValueError(f"run {run_id!r} is already published")
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    while True:
+        log = published_log(spark, root)
+        if any(row.run_id == run_id for row in log):
+            raise ValueError(f"run {run_id!r} is already published")
+        width = next((row.buckets for row in reversed(log) if row.buckets), buckets)
+        chain = keyindex.chain(log)
+        record = {
+            "run_id": run_id,
+            "version": 1 + max((row.version or 0 for row in log), default=0),
+            "folder": f"run={run_id}/{uuid.uuid4().hex}",
+            "buckets": width,
+            "compacted": len(chain) >= compact_after,
+        }
+        counts = _write_new(staging, root, log, record, match)
+        if create_new(spark, f"{root}/published/v{record['version']:012d}.json", json.dumps(record) + "\n"):
+            return LoadResult(run_id, counts)
+
+
+def _write_new(staging: DataFrame, root: str, log: list[Row], record: dict, match: str) -> dict[str, int]:
+    """Write the rows that the published loads lack, and the index of their keys; rows per table."""
+    spark, width = staging.sparkSession, record["buckets"]
+    chain = keyindex.chain(log)
+    bare = [row for row in log if not row.folder] if not any(row.compacted for row in chain) else []
     counts = {}
 
     def add(table: str, rows: DataFrame) -> DataFrame:
-        key = TABLES[table][0]
-        before = read_table(spark, root, table)
-        known = before.select(key)
+        key, schema = TABLES[table]
         if table == "metrics":
             # Copies of a row count one by one; tables of earlier versions hold them under one key.
-            rows, known = (normalize.numbered_copies(df, key) for df in (rows, known))
-        fresh = normalize.new_rows(rows, known, key).select(*before.columns)
+            rows = normalize.numbered_copies(rows, key)
+        fresh = rows.repartition(width, key)
+        for row in chain:
+            known = index.read(f"{_folder(root, row)}/keys/{table}", width)
+            fresh = fresh.join(known.withColumnRenamed("key", key), key, "left_anti")
+        if bare:
+            known = _rows_of(spark, root, table, bare).select(key)
+            fresh = normalize.new_rows(fresh, normalize.numbered_copies(known, key), key)
         seen = Observation(table)
-        path = f"{root}/run={run_id}/{table}"
-        fresh.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        path = f"{root}/{record['folder']}/{table}"
+        written = fresh.select(*schema.fieldNames()).observe(seen, F.count(F.lit(1)).alias("rows"))
+        written.write.mode("overwrite").parquet(path)
         counts[table] = seen.get["rows"]
-        return before.unionByName(spark.read.schema(TABLES[table][1]).parquet(path))
-
-    keys = land(normalize.listing_keys(staging), f"{root}/run={run_id}/listing_keys")
-    locations = add("locations", normalize.locations(keys))
-    restaurants = add("restaurants", normalize.restaurants(keys, locations))
-    add("metrics", normalize.metrics(staging, restaurants, match))
-    published = spark.createDataFrame([(run_id,)], _PUBLISHED)
-    published.coalesce(1).write.mode("append").json(f"{root}/published")
-    return LoadResult(run_id, counts)
+        added = spark.read.schema(schema).parquet(path)
+        keys = added.select(F.col(key).alias("key"))
+        if record["compacted"]:
+            for row in chain:
+                keys = keys.unionByName(index.read(f"{_folder(root, row)}/keys/{table}", width))
+            if bare:
+                known = normalize.numbered_copies(_rows_of(spark, root, table, bare).select(key), key)
+                keys = keys.unionByName(known.select(F.col(key).alias("key")))
+        index.write(keys, f"{root}/{record['folder']}/keys/{table}", width)
+        return _rows_of(spark, root, table, log).unionByName(added)
+
+    with keyindex.Index(spark) as index:
+        keys = land(normalize.listing_keys(staging), f"{root}/{record['folder']}/listing_keys")
+        locations = add("locations", normalize.locations(keys))
+        restaurants = add("restaurants", normalize.restaurants(keys, locations))
+        add("metrics", normalize.metrics(staging, restaurants, match))
+    return counts
