@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from orderflow.constants import CITY_COLUMN
 from orderflow.operators import audit, dimension, fraud, history, items, normalize, validate
 from orderflow.plans import restaurant_reports as reports
+from orderflow.sinks import serials
 from orderflow.sinks.streams import file_output, update_output
-from orderflow.sinks.tables import land
+from orderflow.sinks.tables import TABLES, land, load_listing, read_table
 from orderflow.sinks.workspace import workspace
 from orderflow.sources import files, sample_tables, streams
 from orderflow.streaming import jobs
@@ -169,6 +170,31 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.load_audit(sample_tables.listing(spark, sf_dir))
 
 
+def load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two loads add: the listing, then every row of it twice."""
+    root, staging = workspace(spark, "loads"), sample_tables.listing(spark, sf_dir)
+    loads = {"first": staging, "second": staging.unionByName(staging)}
+    added = {name: load_listing(rows, root, name).rows for name, rows in loads.items()}
+    counts = []
+    for table, (key, _) in TABLES.items():
+        seen = read_table(spark, root, table).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        counts.append(
+            seen.agg(F.count(F.lit(1)).alias("key_count"), F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")).select(
+                F.lit(table).alias("table_name"),
+                *[F.lit(added[name][table]).cast("long").alias(f"{name}_load") for name in loads],
+                "key_count",
+                "row_count",
+            )
+        )
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def restaurant_serials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct restaurants of the listing, numbered from 0 in the order of their naming columns."""
+    keys = _listing_keys(spark, sf_dir)
+    return serials.with_serials(keys, keys.columns, "restaurant_no", workspace(spark, "serials"))
+
+
 def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Foreign keys after suppliers in debt and one region were taken away."""
     metric_table, restaurant_table, location_table = _restaurant_tables(spark, sf_dir)
@@ -308,6 +334,8 @@ def _registered() -> dict[str, Query]:
         "normalize_metrics_exact": normalize_metrics_exact,
         "locations_upsert": locations_upsert,
         "load_audit": load_audit,
+        "load_twice": load_twice,
+        "restaurant_serials": restaurant_serials,
         "fk_orphans": fk_orphans,
         # restaurant reports
         "delivery_summary": lambda s, d: reports.delivery_summary(_restaurant_tables(s, d)[0]),

@@ -482,6 +482,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT check_name, row_count
             FROM (UNPIVOT tables ON * INTO NAME check_name VALUE row_count)""",
         ),
+        "load_twice": _with(
+            _TABLES,
+            """SELECT 'locations' AS table_name, count(*) AS first_load, CAST(0 AS BIGINT) AS second_load,
+                count(*) AS key_count, count(*) AS row_count FROM locations
+            UNION ALL SELECT 'restaurants', count(*), 0, count(*), count(*) FROM restaurants
+            UNION ALL SELECT 'metrics', count(*), count(*), 2 * count(*), 2 * count(*) FROM metrics_v""",
+        ),
+        "restaurant_serials": _with(
+            _LISTING,
+            """SELECT row_number() OVER (ORDER BY name NULLS FIRST, address NULLS FIRST,
+                phone NULLS FIRST, location NULLS FIRST, city NULLS FIRST) - 1 AS restaurant_no,
+                name, address, phone, location, city AS "listed_in(city)"
+            FROM (SELECT DISTINCT name, address, phone, location, city FROM listing)""",
+        ),
         "fk_orphans": _with(
             _TABLES
             + """,
