@@ -87,7 +87,8 @@ def run_dimension(spark: SparkSession, args: argparse.Namespace) -> None:
 def _messages(spark: SparkSession, args: argparse.Namespace, offsets: str) -> DataFrame:
     if args.servers:
         return streams.kafka_messages(spark, args.servers, args.source, offsets)
-    if getattr(args, "routed", False):
+    # A validator that has not written yet cannot be told from an empty folder of texts: --routed says so.
+    if hasattr(args, "routed") and (args.routed or streams.is_routed(spark, args.source)):
         return streams.valid_messages(spark, args.source, args.max_files)
     return streams.text_messages(spark, args.source, args.max_files)
 

@@ -170,6 +170,12 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.load_audit(sample_tables.listing(spark, sf_dir))
 
 
+def normalize_metrics_dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of the landed listing, rows of large venues in many tasks."""
+    staging = land(sample_tables.listing(spark, sf_dir), workspace(spark, "staging"))
+    return normalize.metrics(staging, normalize.restaurants(staging), dealt=True)
+
+
 def load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What two loads add: the listing, then every row of it twice."""
     root, staging = workspace(spark, "loads"), sample_tables.listing(spark, sf_dir)
@@ -334,6 +340,7 @@ def _registered() -> dict[str, Query]:
         "normalize_metrics_exact": normalize_metrics_exact,
         "locations_upsert": locations_upsert,
         "load_audit": load_audit,
+        "normalize_metrics_dealt": normalize_metrics_dealt,
         "load_twice": load_twice,
         "restaurant_serials": restaurant_serials,
         "fk_orphans": fk_orphans,

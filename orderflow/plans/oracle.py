@@ -482,6 +482,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT check_name, row_count
             FROM (UNPIVOT tables ON * INTO NAME check_name VALUE row_count)""",
         ),
+        "normalize_metrics_dealt": _with(_TABLES, f"SELECT {_METRIC_COLUMNS} FROM metrics_v"),
         "load_twice": _with(
             _TABLES,
             """SELECT 'locations' AS table_name, count(*) AS first_load, CAST(0 AS BIGINT) AS second_load,

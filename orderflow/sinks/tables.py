@@ -162,5 +162,5 @@ def _write_new(staging: DataFrame, root: str, log: list[Row], record: dict, matc
         keys = land(normalize.listing_keys(staging), f"{root}/{record['folder']}/listing_keys")
         locations = add("locations", normalize.locations(keys))
         restaurants = add("restaurants", normalize.restaurants(keys, locations))
-        add("metrics", normalize.metrics(staging, restaurants, match))
+        add("metrics", normalize.metrics(staging, restaurants, match, dealt=True))
     return counts

@@ -53,6 +53,13 @@ def valid_messages(
     return reader.parquet(path).filter("route = 'valid'").select("key", "value")
 
 
+def is_routed(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is a validator's output: it holds folders of routes."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/route=*")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return found is not None and len(found) > 0
+
+
 def parquet_messages(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:

@@ -5,7 +5,7 @@ import json
 import pytest
 
 from orderflow.__main__ import main
-from orderflow.sources import files
+from orderflow.sources import files, streams
 
 
 def lines(path, rows):
@@ -89,8 +89,24 @@ def test_validate_then_fraud(spark, tmp_path):
     assert {r.route: r["count"] for r in found.groupBy("route").count().collect()} == {
         "valid": 2, "error": 1,
     }
-    valid = str(tmp_path / "valid")
-    found.filter("route = 'valid'").select("value").write.text(valid)
-    alerts = str(tmp_path / "alerts")
-    main(["fraud", valid, alerts, str(tmp_path / "c2"), "--available-now"])
-    assert spark.read.parquet(alerts).select("user_id").distinct().count() == 1
+    found = {}
+    for name, flags in {"told": ["--routed"], "seen": []}.items():
+        alerts = str(tmp_path / name)
+        main(["fraud", routed, alerts, str(tmp_path / f"c-{name}"), "--available-now", *flags])
+        found[name] = sorted(map(str, spark.read.parquet(alerts).drop("batch_id").collect()))
+        assert spark.read.parquet(alerts).select("user_id").distinct().count() == 1
+    assert found["told"] == found["seen"]
+
+
+def test_only_valid_messages_are_read(spark, tmp_path):
+    routes = ["valid", "error", "malformed", "valid"]
+    rows = spark.createDataFrame([(f"k{n}", f"v{n}", r) for n, r in enumerate(routes)], "key string, value string, route string")
+    rows.write.partitionBy("route").parquet(str(tmp_path / "routed"))
+    assert streams.is_routed(spark, str(tmp_path / "routed"))
+    assert not streams.is_routed(spark, str(tmp_path)) and not streams.is_routed(spark, str(tmp_path / "none"))
+    query = (
+        streams.valid_messages(spark, str(tmp_path / "routed"), 1).writeStream.format("memory")
+        .queryName("valid_only").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert sorted(map(tuple, spark.table("valid_only").collect())) == [("k0", "v0"), ("k3", "v3")]
