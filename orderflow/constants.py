@@ -66,16 +66,15 @@ UNKNOWN_ITEM = "Unknown Item"
 TOP_ROWS = 10
 TOP_CITIES = 20
 
-# Demand by hour of day: band, first hour, hour after the last, factor.
+# Bands of the day: band, first hour, hour after the last.
 # The night band wraps around midnight; hours in no band are "other".
-PEAK_MULTIPLIER = 3.0
-DEMAND_BANDS = (
-    ("morning", 8, 11, 0.6),
-    ("lunch", 12, 15, 1.0 * PEAK_MULTIPLIER),
-    ("dinner", 19, 22, 1.2 * PEAK_MULTIPLIER),
-    ("night", 23, 6, 0.3),
+DAY_BANDS = (
+    ("morning", 8, 11),
+    ("lunch", 12, 15),
+    ("dinner", 19, 22),
+    ("night", 23, 6),
 )
-OTHER_BAND = ("other", 1.0)
+OTHER_BAND = "other"
 
 BREAD_OR_DRINK_WORDS = (
     "bread",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.constants import DEMAND_BANDS, OTHER_BAND, TOP_CITIES, TOP_ROWS
+from orderflow.constants import DAY_BANDS, OTHER_BAND, TOP_CITIES, TOP_ROWS
 from orderflow.functions.numbers import money_total
 from orderflow.functions.times import event_time, utc_hour
 
@@ -117,24 +117,21 @@ def regional_favorites(items: DataFrame) -> DataFrame:
     )
 
 
-def demand_band(hour: Column) -> tuple[Column, Column]:
-    """Name and factor of the demand band of an hour of day."""
-    name, factor = F.lit(OTHER_BAND[0]), F.lit(OTHER_BAND[1])
-    for band, start, end, weight in DEMAND_BANDS:
+def day_band(hour: Column) -> Column:
+    """Name of the band of the day that an hour lies in."""
+    name = F.lit(OTHER_BAND)
+    for band, start, end in DAY_BANDS:
         after, before = hour >= start, hour < end
-        inside = (after & before) if start < end else (after | before)
-        name = F.when(inside, F.lit(band)).otherwise(name)
-        factor = F.when(inside, F.lit(weight)).otherwise(factor)
-    return name, factor
+        name = F.when((after & before) if start < end else (after | before), F.lit(band)).otherwise(name)
+    return name
 
 
 def demand_bands(orders: DataFrame) -> DataFrame:
-    """Orders per demand band of the day."""
-    name, factor = demand_band(F.col("order_hour"))
+    """Orders per band of the day."""
     return (
         hourly_pattern(orders)
-        .select(name.alias("band"), factor.alias("demand_factor"), "transaction_volume")
-        .groupBy("band", "demand_factor")
+        .select(day_band(F.col("order_hour")).alias("band"), "transaction_volume")
+        .groupBy("band")
         .agg(F.sum("transaction_volume").alias("order_count"))
         .orderBy("band")
     )

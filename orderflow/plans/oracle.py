@@ -385,14 +385,7 @@ def oracle_sql() -> dict[str, str]:
                 WHEN hour(ts) BETWEEN 19 AND 21 THEN 'dinner'
                 WHEN hour(ts) >= 23 OR hour(ts) < 6 THEN 'night' ELSE 'other' END AS band
                 FROM timed)""",
-            """SELECT band,
-                CASE band WHEN 'morning' THEN CAST(0.6 AS DOUBLE)
-                    WHEN 'lunch' THEN CAST(3.0 AS DOUBLE)
-                    WHEN 'dinner' THEN CAST(1.2 AS DOUBLE) * CAST(3.0 AS DOUBLE)
-                    WHEN 'night' THEN CAST(0.3 AS DOUBLE)
-                    ELSE CAST(1.0 AS DOUBLE) END AS demand_factor,
-                count(*) AS order_count
-            FROM bands GROUP BY band""",
+            "SELECT band, count(*) AS order_count FROM bands GROUP BY band",
         ),
         "regional_favorites": _with(
             _ORDERS

@@ -142,19 +142,15 @@ def test_favorites_keep_all_ties(spark):
 
 def test_demand_bands_cover_the_day(spark):
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour"))
-    name, factor = history.demand_band(F.col("hour"))
-    rows = hours.select("hour", name.alias("band"), factor.alias("factor")).collect()
-    found = {r.hour: (r.band, r.factor) for r in rows}
+    found = hours.select("hour", history.day_band(F.col("hour")).alias("band")).collect()
     expected = {
-        "morning": ({8, 9, 10}, 0.6),
-        "lunch": ({12, 13, 14}, 3.0),
-        "dinner": ({19, 20, 21}, 1.2 * 3.0),
-        "night": ({23, 0, 1, 2, 3, 4, 5}, 0.3),
-        "other": ({6, 7, 11, 15, 16, 17, 18, 22}, 1.0),
+        "morning": {8, 9, 10},
+        "lunch": {12, 13, 14},
+        "dinner": {19, 20, 21},
+        "night": {23, 0, 1, 2, 3, 4, 5},
+        "other": {6, 7, 11, 15, 16, 17, 18, 22},
     }
-    for band, (members, weight) in expected.items():
-        assert {h for h, (b, _) in found.items() if b == band} == members
-        assert all(found[h][1] == weight for h in members)
+    assert {band: {r.hour for r in found if r.band == band} for band in expected} == expected
 
 
 def test_bread_or_drink(spark):
