@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -56,8 +57,11 @@ _MAGIC = b"DAC1"
 _BLOCK = 512
 _REMEMBERED = 500_000
 _CUT = re.compile(r" (?=\S)")
-_GAP = re.compile(r" (?!\S)")
+_CUT_LINES = re.compile(r" (?=\S)|(?<=\S)(?=\n\S)")
+_RUN = re.compile(r"\s\s")
 _SPACE = re.compile(r"\s")
+#: Marks that are no part of a contraction.
+_MARKS = string.punctuation.replace("'", "")
 _TOGETHER = 3_000_000
 _NULL_ID = -(1 << 62)
 MANIFEST = "file string, first_id long, n_documents long, n_tokens long"
@@ -158,8 +162,15 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.feed = feed[0] if len(feed) == 1 else None
-        self.marks = dict(zip(",.", self._ids([",", "."]), strict=True))
+        self.feed = feed[0] if len(feed) == 1 and self._parts_lines() else None
+        self.known = {} if self.feed is None else {"\n": np.array(feed, "<u4").tobytes()}
+        self.young.update(self.known)
+
+    def _parts_lines(self) -> bool:
+        """Whether a line feed between other characters, and marks after a letter, are words of their own."""
+        split = self.tokenizer.pre_tokenizer
+        probes = {"a.\nb": [1, 2, 3, 4], "a\n.": [1, 2, 3], "a\n a": [1, 2, 4], "a.,$": [1, 4]}
+        return split is not None and all([e for _, (_, e) in split.pre_tokenize_str(t)] == ends for t, ends in probes.items())
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -167,34 +178,43 @@ class Encoder:
 
     def _learn(self, wanted: set[str]) -> None:
         if len(self.young) > _REMEMBERED:
-            self.young, self.old = {}, self.young
+            self.young, self.old = dict(self.known), self.young
         young, old = self.young, self.old
-        plain, other, ended = [], [], []
-        # A mark after a letter is a word of its own, so a piece with one is put together.
-        wanted = wanted | {p[:-1] for p in wanted if p[-1:] in self.marks and p[-2:-1].isalpha()}
+        new, ended = set(), []
+
+        def learned(piece: str) -> bool:
+            if piece not in young and piece in old:
+                young[piece] = old[piece]
+            return piece in young
+
         for piece in wanted:
-            if piece not in young:
-                if piece in old:
-                    young[piece] = old[piece]
-                elif piece[-1:] in self.marks and piece[-2:-1].isalpha():
-                    ended.append(piece)
-                elif self.feed is None or not piece or _SPACE.search(piece):
-                    other.append(piece)
-                else:
-                    plain.append(piece)
-        young.update(zip(other, self._ids([" " + p for p in other]), strict=True))
+            if piece in young or learned(piece):
+                continue
+            word = piece.rstrip(_MARKS)
+            if self.feed is not None and len(word) < len(piece) and word[-1:].isalpha():
+                # Marks after a letter are a word of their own, so the piece is put together.
+                marks = "\n" + piece[len(word) :]
+                ended.append((piece, word, marks))
+                new.update(p for p in (word, marks) if not learned(p))
+            else:
+                new.add(piece)
+        plain, other = [], []
+        for piece in new:
+            (other if self.feed is None or not piece or _SPACE.search(piece, 1) else plain).append(piece)
+        # A piece that starts a line has no space before it.
+        own = self._ids([p if p[:1] == "\n" else " " + p for p in other])
+        young.update(zip(other, own, strict=True))
         # One text is encoded faster than many: a line feed is a token that nothing else holds.
         for begin in range(0, len(plain), 1000):
             part = plain[begin : begin + 1000]
-            text = " " + "\n ".join(part)
+            text = "".join([p if p[0] == "\n" else "\n " + p for p in part])
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             ends = [*(4 * np.flatnonzero(ids == self.feed)).tolist(), 4 * len(ids)]
-            data, start = ids.tobytes(), 0
-            for piece, end in zip(part, ends, strict=True):
-                young[piece] = data[start:end]
-                start = end + 4
-        for piece in ended:
-            young[piece] = young[piece[:-1]] + self.marks[piece[-1]]
+            data = ids.tobytes()
+            for piece, start, end in zip(part, ends[:-1], ends[1:], strict=True):
+                young[piece] = data[start if piece[0] == "\n" else start + 4 : end]
+        for piece, word, marks in ended:
+            young[piece] = young[word] + young[marks][4:]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.whole:
@@ -213,23 +233,22 @@ class Encoder:
         return b"".join(x for pair in zip(plain, [*marks, b""], strict=True) for x in pair)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces(t) for t in texts]
+        cut = [pieces(t, self.feed is not None) for t in texts]
         self._learn(set().union(*(c[1:] for c in cut)))
         known = self.young.__getitem__
         heads = self._ids([c[0] for c in cut])
         return [head + b"".join(map(known, c[1:])) for head, c in zip(heads, cut, strict=True)]
 
 
-def pieces(text: str) -> list[str]:
+def pieces(text: str, lines: bool = False) -> list[str]:
     """``text`` cut at spaces, which are left out; no cut falls inside a word of the tokenizer.
 
-    A space within white space, with none of a word after it, must not be cut; such texts
-    are cut only where a word follows.
+    With ``lines`` it is cut before line feeds, too, which stay: a piece that starts with one had no
+    space before it. White space next to other white space is never cut off from it.
     """
-    for gap in _GAP.finditer(text):
-        if gap.start() and text[gap.start() - 1].isspace():
-            return _CUT.split(text)
-    return text.split(" ")
+    if _RUN.search(text):
+        return (_CUT_LINES if lines else _CUT).split(text)
+    return (text.replace("\n", " \n") if lines else text).split(" ")
 
 
 @lru_cache(maxsize=1)
