@@ -55,7 +55,7 @@ FILES_READ = 4
 END_ID = 0
 _MAGIC = b"DAC1"
 _BLOCK = 512
-_REMEMBERED = 500_000
+_REMEMBERED = 700_000
 _CUT = re.compile(r" (?=\S)")
 _CUT_LINES = re.compile(r" (?=\S)|(?<=\S)(?=\n\S)")
 _RUN = re.compile(r"\s\s")
@@ -180,24 +180,19 @@ class Encoder:
         if len(self.young) > _REMEMBERED:
             self.young, self.old = dict(self.known), self.young
         young, old = self.young, self.old
+        missing = wanted.difference(young)
+        young.update([(p, old[p]) for p in missing if p in old])
         new, ended = set(), []
-
-        def learned(piece: str) -> bool:
-            if piece not in young and piece in old:
-                young[piece] = old[piece]
-            return piece in young
-
-        for piece in wanted:
-            if piece in young or learned(piece):
-                continue
-            word = piece.rstrip(_MARKS)
-            if self.feed is not None and len(word) < len(piece) and word[-1:].isalpha():
+        for piece in missing.difference(young):
+            word = piece.rstrip(_MARKS) if self.feed is not None else piece
+            if len(word) < len(piece) and word[-1:].isalpha():
                 # Marks after a letter are a word of their own, so the piece is put together.
-                marks = "\n" + piece[len(word) :]
-                ended.append((piece, word, marks))
-                new.update(p for p in (word, marks) if not learned(p))
+                ended.append((piece, word, "\n" + piece[len(word) :]))
             else:
                 new.add(piece)
+        parts = {p for _, *both in ended for p in both}.difference(young)
+        young.update([(p, old[p]) for p in parts if p in old])
+        new.update(parts.difference(young))
         plain, other = [], []
         for piece in new:
             (other if self.feed is None or not piece or _SPACE.search(piece, 1) else plain).append(piece)
@@ -358,11 +353,12 @@ def _reader(folder: str, key: str):
                 system, path = file_system(folder)
                 with system.open_input_stream(f"{path}/{name}") as data:
                     held = TokenFile(data.read())
+                # A file is bounded, and one range costs less than one per document.
+                tokens = held.tokens(0, held.n_tokens).astype("<u4", copy=False)
                 ends = np.append(held.starts[1:], held.n_tokens).astype(np.int64)
                 rows = []
                 for doc, start, end in zip(held.ids.tolist(), held.starts.tolist(), ends.tolist(), strict=True):
-                    tokens = held.tokens(start, end)
-                    rows.append((doc, base + start, end - start, zlib.crc32(tokens.astype("<u4").tobytes())))
+                    rows.append((doc, base + start, end - start, zlib.crc32(tokens[start:end])))
                 out = pd.DataFrame(rows, columns=[key, "start", "n_tokens", "ids_crc32"])
                 out[key] = out[key].astype("Int64").mask(out[key] == _NULL_ID)
                 yield out
