@@ -20,8 +20,9 @@ manifest lists the files; the place of a file's first token is the sum of the to
 Files are reached through Arrow's file systems, so the folder may be on any store they know.
 
 Encoding: the tokenizer splits text into words before it merges bytes, and a space followed by a
-character that is no white space always starts a word. So a text is cut there, each distinct piece is encoded
-by the tokenizer and remembered (at most about 2 x ``_REMEMBERED`` pieces), and the text's ids are the pieces' ids
+character that is no white space always starts a word. So a text is cut there. Where the tokenizer also makes a lone
+line feed, and marks after a letter, words of their own (it is asked on short texts), the text is cut at those, too. Each
+distinct piece is encoded by the tokenizer and remembered (at most about 2 x ``_REMEMBERED`` pieces), and the text's ids are the pieces' ids
 in order: the same ids as those of the whole text, which the tests compare. Strings of added tokens in a text
 are one id each, as the library has it by default, and part the text like its ends; if an added token asks for more
 (stripping, whole words, normalised text), texts are encoded whole.
