@@ -153,6 +153,21 @@ def test_demand_bands_cover_the_day(spark):
     assert {band: {r.hour for r in found if r.band == band} for band in expected} == expected
 
 
+def test_demand_bands_have_factors(spark):
+    orders = spark.range(24).select(
+        F.col("id").cast("string").alias("order_id"),
+        F.format_string("2024-05-01T%02d:00:00Z", "id").alias("order_time"),
+    )
+    found = {r.band: (r.demand_factor, r.order_count) for r in history.demand_bands(orders).collect()}
+    assert found == {
+        "morning": (0.6, 3),
+        "lunch": (3.0, 3),
+        "dinner": (1.2 * 3.0, 3),
+        "night": (0.3, 7),
+        "other": (1.0, 8),
+    }
+
+
 def test_bread_or_drink(spark):
     names = ["Butter NAAN", "Iced Tea", "steak", "rice", "Sweet lassi", "rotisserie"]
     rows = nested(spark, "string", [("o", "c", names)])
