@@ -57,6 +57,32 @@ def test_routing_parses_a_message_once(spark, sf_dir):
     assert plan.count("from_json") == 1
 
 
+def test_exploded_items_are_compiled(spark, sf_dir):
+    """The JVM never compiles methods of more than 8,000 bytes."""
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", plan_of(QUERIES["items_exploded"](spark, sf_dir), "codegen"))
+    assert sizes and max(map(int, sizes)) < 8000
+
+
+def test_dishes_of_lines_with_nulls(spark, tmp_path):
+    """Dishes follow the line number, begin again after the last, and are NULL without one."""
+    folder = "/root/testdata/sf0.001"
+    for name in ("part", "supplier", "nation", "region"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").limit(1).drop("l_linenumber", "l_quantity", "l_orderkey")
+    numbered = spark.createDataFrame(
+        [(1, 1, 5.0), (2, 9, 6.0), (3, None, 5.0), (4, 2, None)], "l_orderkey long, l_linenumber int, l_quantity double"
+    )
+    lines.crossJoin(numbered).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = catalog.sample_tables.orders(spark, str(tmp_path)).collect()
+    found = {r.user_id: r["items"] and [(i.food_item.split()[-1], i.quantity) for i in r["items"]] for r in orders}
+    assert found == {
+        "user-1": [("curry", 3)],
+        "user-2": [("curry", 4), ("naan", 1)],
+        "user-3": None,
+        "user-4": [("curry", None), ("naan", None)],
+    }
+
+
 def test_reports_shuffle_metrics_by_restaurant_only(spark, sf_dir, tmp_path):
     """Metrics are added up per restaurant, and the join reuses that partitioning."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
