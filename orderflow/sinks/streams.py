@@ -45,6 +45,7 @@ def file_output(
         messages.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(partition_by)
+        .option("compression", "zstd")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )

@@ -19,6 +19,9 @@ _CSV = {
     "mode": "PERMISSIVE",
 }
 
+#: Messages in a compressed file, about 25 MB of orders.
+MESSAGES_PER_FILE = 250_000
+
 
 def read_orders(
     spark: SparkSession,
@@ -93,6 +96,15 @@ def write_listing(listing: DataFrame, path: str) -> None:
     listing.write.options(**_CSV, **keep_blanks).csv(path)
 
 
+def write_messages(messages: DataFrame, path: str) -> None:
+    """Messages as compressed text files, one message per line.
+
+    A compressed file is read by one task, so a file ends after a fixed number of messages.
+    """
+    fast = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": str(MESSAGES_PER_FILE)}
+    messages.select("value").write.options(**fast).text(path)
+
+
 def read_listing_by_header(spark: SparkSession, path: str) -> DataFrame:
     """Restaurant listing by header name, in any column order, all text.
 
