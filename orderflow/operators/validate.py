@@ -123,15 +123,16 @@ def check_messages(messages: DataFrame, tolerance: Decimal = PRICE_TOLERANCE) ->
     # A parser stops after the first JSON value. In an envelope, anything left
     # over after it is a parse error or shifts the end mark. The mark is a hash of
     # the whole text, which the text cannot hold.
-    value, mark = F.col("value"), F.md5("value")
+    value, mark = F.col("value"), F.col("_mark")
     end = F.concat(F.lit(',{"end":"'), mark, F.lit('"}]'))
     wrapped = F.concat(F.lit('{"messages":['), value, end, F.lit("}"))
     envelope = F.from_json(wrapped, _ENVELOPE, {
         "columnNameOfCorruptRecord": "corrupt",
         "allowNonNumericNumbers": "false",
     })
-    parsed = messages.withColumn("envelope", envelope).select(
+    parsed = messages.withColumn("_mark", F.md5("value")).withColumn("envelope", envelope).select(
         *messages.columns,
+        "_mark",
         F.get("envelope.messages", F.lit(0)).alias("order"),
         F.coalesce(
             F.col("envelope.corrupt").isNull()
@@ -142,6 +143,7 @@ def check_messages(messages: DataFrame, tolerance: Decimal = PRICE_TOLERANCE) ->
     )
     typed = parsed.select(
         *messages.columns,
+        "_mark",
         "is_typed",
         F.col("order").isNotNull().alias("is_order"),
         "order.*",
@@ -170,13 +172,14 @@ def check_messages(messages: DataFrame, tolerance: Decimal = PRICE_TOLERANCE) ->
         items_total(F.col("items")),
         tolerance,
     )
-    judged = typed.select(
+    # The reason is a step of its own, for what stands in one expression may be evaluated at each mention.
+    judged = typed.withColumn("_reason", reason).select(
         *messages.columns,
         F.coalesce(
             F.try_variant_get("order_id", "$", "string"), F.lit(UNKNOWN_ORDER_ID)
         ).alias("order_id"),
-        reason.alias("reason"),
-        F.when(reason.isNull(), codes).alias("errors"),
+        F.col("_reason").alias("reason"),
+        F.when(F.col("_reason").isNull(), codes).alias("errors"),
     )
     route = (
         F.when(F.col("reason").isNotNull(), F.lit(MALFORMED))
