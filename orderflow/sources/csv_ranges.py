@@ -2,14 +2,15 @@
 
 A line break inside quotes is no record end, so a reader that starts in the middle of a file can't tell where the
 next record begins, and Spark reads such a file in one task. Whether a place is inside quotes follows from the
-parity of the quotes before it. So the file is read twice as physical lines, which Spark splits
-into byte ranges:
+parity of the quotes before it. So the file is read twice, and not more often, as physical lines, which Spark splits
+into byte ranges; a task takes several ranges if they are small:
 
 1. every range counts its quotes; the parities of the ranges before it, a row per range, are combined into the
    parity at its start;
 2. every range joins its lines into records, from the first record end to the last; what is left at its two
    ends, a piece of one record each, meets the pieces of its neighbours by range.
 
+What comes out is stored (see :func:`~orderflow.sinks.workspace.workspace`), since it is used more than once.
 Records are then parsed by Spark's own CSV expression, with the options of the whole-file reader.
 
 The parity holds for files whose quotes stand around whole fields and are doubled inside them, as every CSV writer has
@@ -31,6 +32,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderflow.sinks.workspace import workspace
+
 # Tasks get the code below with the job, wherever the package lies.
 register_pickle_by_value(sys.modules[__name__])
 
@@ -38,6 +41,8 @@ register_pickle_by_value(sys.modules[__name__])
 _SOUND = r'(?s)\A(?:"(?:[^"]++|"")*+"|[^",]*+)(?:,(?:"(?:[^"]++|"")*+"|[^",]*+))*+\z'
 #: Ranges whose start parities may be sent to all tasks; with more of them the lines are sorted by range.
 BROADCAST_RANGES = 200_000
+#: Ranges that a task takes at most, beyond four tasks per core.
+RANGES_PER_TASK = 128
 
 _PIECES = "file string, begin long, place int, kind string, record string"
 
@@ -122,10 +127,19 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield own.taken()
 
 
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    path = workspace(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def records(spark: SparkSession, path: str) -> DataFrame:
     """(file, begin, place, record): the records of all files, in no order; header records are among them."""
     lines = _lines(spark, path)
-    parities = range_parities(lines)
+    # Ranges of a task are read one after the other, each under its own first byte.
+    splits = lines.rdd.getNumPartitions()
+    lines = lines.coalesce(max(1, -(-splits // RANGES_PER_TASK), min(splits, 4 * spark.sparkContext.defaultParallelism)))
+    parities = _stored(range_parities(lines), "csv-parities")
     ranges = parities.count()
     if ranges <= BROADCAST_RANGES:
         known = lines.join(F.broadcast(parities), ["file", "begin"])
@@ -133,6 +147,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         placed = lines.withColumn("line", F.monotonically_increasing_id()).join(parities, ["file", "begin"])
         known = placed.repartition("file", "begin").sortWithinPartitions("file", "begin", "line")
     found = known.select("file", "begin", "inside", "value").mapInArrow(_joined, _PIECES)
+    found = _stored(found, "csv-records")
     whole = found.filter("kind = 'record'").select("file", "begin", "place", "record")
     # A tail, and the pieces up to the next one, are one record; there are two pieces per range at most.
     upto = W.partitionBy("file").orderBy("begin", "place")

@@ -88,6 +88,18 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path, small_ranges):
     assert files.read_listing(spark, str(tmp_path)).rdd.getNumPartitions() == 1
 
 
+def test_the_file_is_read_twice_by_tasks_of_many_ranges(spark, tmp_path, small_ranges, monkeypatch):
+    monkeypatch.setattr(csv_ranges, "RANGES_PER_TASK", 16)
+    (tmp_path / "one.csv").write_text(text(4, rows=4000))
+    ranges = csv_ranges._lines(spark, str(tmp_path)).rdd.getNumPartitions()
+    found = csv_ranges.records(spark, str(tmp_path))
+    assert ranges > 200
+    assert str(tmp_path / "one.csv") not in "".join(found.inputFiles())
+    stored = {file for file in found.inputFiles() if "/csv-records-" in file}
+    assert 1 < len(stored) <= max(16, -(-ranges // 16))
+    assert rows(files.read_listing_ranges(spark, str(tmp_path))) == rows(files.read_listing(spark, str(tmp_path)))
+
+
 def test_files_with_different_headers(spark, tmp_path):
     names = [f.name for f in LISTING]
     (tmp_path / "a.csv").write_text(",".join(names) + "\n" + ",".join(f"a{i}" for i in range(14)))
