@@ -21,8 +21,9 @@ Files are reached through Arrow's file systems, so the folder may be on any stor
 
 Encoding: the tokenizer splits text into words before it merges bytes, and a space followed by a
 character that is no white space always starts a word. So a text is cut there. Where the tokenizer also makes a lone
-line feed, and marks after a letter, words of their own (it is asked on short texts), the text is cut at those, too. Each
-distinct piece is encoded by the tokenizer and remembered (at most about 2 x ``_REMEMBERED`` pieces), and the text's ids are the pieces' ids
+line feed, and marks after a letter, words of their own (it is asked on short texts), the text is cut around and before
+those, too. Texts are cut by portions, as arrays of bytes. Each distinct piece is encoded by the tokenizer and remembered (at most
+about 2 x ``_REMEMBERED`` pieces and those of a portion), and the text's ids are the pieces' ids
 in order: the same ids as those of the whole text, which the tests compare. Strings of added tokens in a text
 are one id each, as the library has it by default, and part the text like its ends; if an added token asks for more
 (stripping, whole words, normalised text), texts are encoded whole.
@@ -41,9 +42,12 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -56,14 +60,16 @@ FILES_READ = 4
 END_ID = 0
 _MAGIC = b"DAC1"
 _BLOCK = 512
-_REMEMBERED = 700_000
-_CUT = re.compile(r" (?=\S)")
-_CUT_LINES = re.compile(r" (?=\S)|(?<=\S)(?=\n\S)")
-_RUN = re.compile(r"\s\s")
-_SPACE = re.compile(r"\s")
-#: Marks that are no part of a contraction.
-_MARKS = string.punctuation.replace("'", "")
-_TOGETHER = 3_000_000
+_REMEMBERED = 500_000
+#: Pieces of a text that the tokenizer is given at once.
+_ASKED = 200
+_PLAIN = re.compile(r" ?\S+")
+#: Bytes of texts that are cut and looked up at once.
+_TOGETHER = 4_000_000
+#: Kinds of bytes.
+_WHITE, _LETTER, _MARK, _SPACE, _FEED, _LATIN, _LATIN_END, _WIDE = (1 << i for i in range(8))
+#: White space of more than a byte.
+_WIDE_SPACES = [c.encode() for c in map(chr, range(0x80, 0xD800)) if c.isspace()]
 _NULL_ID = -(1 << 62)
 MANIFEST = "file string, first_id long, n_documents long, n_tokens long"
 
@@ -71,7 +77,7 @@ MANIFEST = "file string, first_id long, n_documents long, n_tokens long"
 # --- the code ----------------------------------------------------------------
 
 
-def encode_file(ids: list[int], starts: np.ndarray, tokens: np.ndarray) -> bytes:
+def encode_file(ids: list[int] | np.ndarray, starts: np.ndarray, tokens: np.ndarray) -> bytes:
     """The bytes of a file with these documents."""
     levels, rest = [], tokens.astype(np.uint32)
     while True:
@@ -145,106 +151,178 @@ class TokenFile:
 # --- tokenizing --------------------------------------------------------------
 
 
+def _kinds() -> bytes:
+    kinds = bytearray(256)
+    for i in range(128):
+        kinds[i] = _WHITE * chr(i).isspace() | _LETTER * chr(i).isalpha()
+    for c in string.punctuation:
+        kinds[ord(c)] |= _MARK * (c != "'")  # which may be part of a contraction
+    kinds[ord(" ")] |= _SPACE
+    kinds[ord("\n")] |= _FEED
+    kinds[0xC3] |= _LATIN
+    for c in map(chr, range(0xC0, 0x100)):
+        kinds[c.encode()[1]] |= _LATIN_END * c.isalpha()
+    for c in _WIDE_SPACES:
+        kinds[c[0]] |= _WIDE
+    return bytes(kinds)
+
+
+_KINDS = _kinds()
+
+
+def pieces(data: bytes, bounds: np.ndarray, lines: bool = False) -> np.ndarray:
+    """For each byte of UTF-8, whether a piece begins there; no cut falls inside a word of the tokenizer.
+
+    ``bounds`` are the places where texts begin and end. Texts are cut before a space; with ``lines`` before and
+    after line feeds, and before marks that follow a letter, too. White space next to other white space is never
+    cut off from it.
+    """
+    kinds = np.frombuffer(data.translate(_KINDS), np.uint8)
+    cut = np.zeros(len(data), np.uint8)
+    if not len(data):
+        return cut.view(bool)
+    if (wide := np.flatnonzero(kinds & _WIDE)).size:
+        kinds, there = kinds.copy(), np.frombuffer(data + b"\0\0", np.uint8)
+        for space in [c for c in _WIDE_SPACES if c in data]:
+            at = wide[np.logical_and.reduce([there[wide + i] == byte for i, byte in enumerate(space)])]
+            for i in range(len(space)):
+                kinds[at + i] = _WHITE
+    cut[:-1] = (kinds[:-1] & _SPACE != 0) & (kinds[1:] & _WHITE == 0)
+    # What follows the last space of a text is another text.
+    bounds = np.unique(bounds)
+    cut[bounds[bounds > 0] - 1] = 0
+    if lines:
+        lone = (kinds[1:-1] & _FEED != 0) & ((kinds[:-2] | kinds[2:]) & _WHITE == 0)
+        cut[1:-1] |= lone
+        cut[2:] |= lone
+        letter = kinds[:-1] & _LETTER != 0
+        letter[1:] |= (kinds[:-2] & _LATIN != 0) & (kinds[1:-1] & _LATIN_END != 0)
+        cut[1:] |= letter & (kinds[1:] & _MARK != 0)
+    cut[bounds[bounds < len(data)]] = 1
+    return cut.view(bool)
+
+
 class Encoder:
-    """Ids of whole texts as little-endian uint32 bytes, with remembered pieces.
+    """Ids of whole texts, with remembered pieces.
 
-    Pieces are remembered with the space before them, in a younger and an older generation.
+    Pieces are remembered with the number of the portion that held them last. Where they get too many, those
+    met longest ago are forgotten.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.whole = any(a.lstrip or a.rstrip or a.single_word or a.normalized for a in added.values())
-        self.added = {a.content: np.array([i], "<u4").tobytes() for i, a in added.items()}
-        names = sorted(self.added, key=len, reverse=True)
-        self.special = re.compile(f"({'|'.join(map(re.escape, names))})") if names else None
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.feed = feed[0] if len(feed) == 1 and self._parts_lines() else None
-        self.known = {} if self.feed is None else {"\n": np.array(feed, "<u4").tobytes()}
-        self.young.update(self.known)
-
-    def _parts_lines(self) -> bool:
-        """Whether a line feed between other characters, and marks after a letter, are words of their own."""
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.whole = any(a.lstrip or a.rstrip or a.single_word or a.normalized for a in added)
+        names = sorted((a.content.encode() for a in added), key=len, reverse=True)
+        self.special = re.compile(b"|".join(map(re.escape, names))) if names else None
+        self.feed = self._feed()
+        self.rows: dict[bytes, int] = {}
+        self.ids = pa.array([], pa.large_binary())
+        self.met = np.zeros(0, np.int64)
+        self.portions = 0
+
+    def _feed(self) -> int | None:
+        """The id of a line feed, if between other characters it is a word of its own, and so are marks after a letter."""
         split = self.tokenizer.pre_tokenizer
         probes = {"a.\nb": [1, 2, 3, 4], "a\n.": [1, 2, 3], "a\n a": [1, 2, 4], "a.,$": [1, 4]}
-        return split is not None and all([e for _, (_, e) in split.pre_tokenize_str(t)] == ends for t, ends in probes.items())
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, wanted: set[str]) -> None:
-        if len(self.young) > _REMEMBERED:
-            self.young, self.old = dict(self.known), self.young
-        young, old = self.young, self.old
-        missing = wanted.difference(young)
-        young.update([(p, old[p]) for p in missing if p in old])
-        new, ended = set(), []
-        for piece in missing.difference(young):
-            word = piece.rstrip(_MARKS) if self.feed is not None else piece
-            if len(word) < len(piece) and word[-1:].isalpha():
-                # Marks after a letter are a word of their own, so the piece is put together.
-                ended.append((piece, word, "\n" + piece[len(word) :]))
-            else:
-                new.add(piece)
-        parts = {p for _, *both in ended for p in both}.difference(young)
-        young.update([(p, old[p]) for p in parts if p in old])
-        new.update(parts.difference(young))
-        plain, other = [], []
-        for piece in new:
-            (other if self.feed is None or not piece or _SPACE.search(piece, 1) else plain).append(piece)
-        # A piece that starts a line has no space before it.
-        own = self._ids([p if p[:1] == "\n" else " " + p for p in other])
-        young.update(zip(other, own, strict=True))
+        probes |= {f"{a}{c}b": [1, 2, 3] for a in "aé" for c in string.punctuation if c != "'"}
+        if split is None or any([e for _, (_, e) in split.pre_tokenize_str(t)] != ends for t, ends in probes.items()):
+            return None
+        if any("\n" in a.content for a in self.tokenizer.get_added_tokens_decoder().values()):
+            return None
+        a, feed, both = (self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a", "\n", "a\na"))
+        return feed[0] if len(feed) == 1 and both == a + feed + a else None
+
+    def _asked(self, texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        """The ids of each text, and how many these are."""
+        found = [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return found, [len(x) for x in found]
+
+    def _learn(self, new: list[bytes]) -> np.ndarray:
+        """Ask for the ids of pieces and remember them; their rows."""
+        texts = [p.decode() for p in new]
+        plain = [self.feed is not None and _PLAIN.fullmatch(t) is not None for t in texts]
+        order = np.argsort(~np.array(plain, bool), kind="stable")
+        ids, counts = [], []
         # One text is encoded faster than many: a line feed is a token that nothing else holds.
-        for begin in range(0, len(plain), 1000):
-            part = plain[begin : begin + 1000]
-            text = "".join([p if p[0] == "\n" else "\n " + p for p in part])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = [*(4 * np.flatnonzero(ids == self.feed)).tolist(), 4 * len(ids)]
-            data = ids.tobytes()
-            for piece, start, end in zip(part, ends[:-1], ends[1:], strict=True):
-                young[piece] = data[start if piece[0] == "\n" else start + 4 : end]
-        for piece, word, marks in ended:
-            young[piece] = young[word] + young[marks][4:]
+        joined = [t for t, p in zip(texts, plain, strict=True) if p]
+        for begin in range(0, len(joined), _ASKED):
+            part = joined[begin : begin + _ASKED]
+            found = self._asked(["\n".join(part)])[0][0]
+            feeds = np.flatnonzero(found == self.feed)
+            if len(feeds) != len(part) - 1:
+                raise ValueError("the tokenizer does not part lines")
+            ids.append(np.delete(found, feeds))
+            counts.append(np.diff(feeds, prepend=-1, append=len(found)) - 1)
+        for begin in range(0, len(texts) - len(joined), _ASKED):
+            found, many = self._asked([texts[i] for i in order[len(joined) + begin :][:_ASKED]])
+            ids += found
+            counts.append(many)
+        rows = np.empty(len(new), np.int64)
+        rows[order] = np.arange(len(self.rows), len(self.rows) + len(new))
+        self.rows.update([(new[i], row) for row, i in enumerate(order.tolist(), len(self.rows))])
+        self.ids = pa.concat_arrays([self.ids, _binaries(ids, np.concatenate(counts))])
+        self.met = np.append(self.met, np.zeros(len(new), np.int64))
+        return rows
+
+    def _forget(self) -> None:
+        kept = np.sort(np.argsort(-self.met, kind="stable")[:_REMEMBERED])
+        names = list(self.rows)
+        self.rows = {names[i]: row for row, i in enumerate(kept.tolist())}
+        self.ids, self.met = self.ids.take(pa.array(kept)), self.met[kept]
+
+    def _known(self, names: list[bytes]) -> pa.Array:
+        """The ids of distinct pieces, as bytes."""
+        self.portions += 1
+        if len(self.rows) > 2 * _REMEMBERED:
+            self._forget()
+        rows = np.fromiter(map(self.rows.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            rows[new] = self._learn([names[i] for i in new.tolist()])
+        self.met[rows] = self.portions
+        return self.ids.take(pa.array(rows))
+
+    def tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, which are strings that are not null, and where those of each text end."""
+        texts = texts.cast(pa.string())
+        if self.whole:
+            found, counts = self._asked(texts.to_pylist())
+            return np.concatenate([np.zeros(0, "<u4"), *found]), np.cumsum(counts, dtype=np.int64)
+        if not pc.any(pc.greater(pc.binary_length(texts), 0)).as_py():
+            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+        at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        begin, at = int(at[0]), at - at[0]
+        data = texts.buffers()[2].slice(begin, int(at[-1])).to_pybytes()
+        marks = []
+        if self.special is not None and self.special.search(data):
+            ranges = zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
+            marks = [m.span() for a, b in ranges for m in self.special.finditer(data, a, b)]
+        cut = pieces(data, np.concatenate([at, np.array(marks, np.int32).reshape(-1)]), self.feed is not None)
+        for a, b in marks:
+            cut[a + 1 : b] = False
+        starts = np.flatnonzero(cut).astype(np.int32)
+        ends = pa.py_buffer(np.append(starts, at[-1]))
+        held = pa.Array.from_buffers(pa.binary(), len(starts), [None, ends, pa.py_buffer(data)]).dictionary_encode()
+        found = self._known(held.dictionary.to_pylist()).take(held.indices)
+        upto = np.frombuffer(found.buffers()[1], np.int64)[found.offset : found.offset + len(found) + 1]
+        size = int(upto[-1] - upto[0]) // 4
+        tokens = np.frombuffer(found.buffers()[2], "<u4", size, int(upto[0])) if size else np.zeros(0, "<u4")
+        return tokens, (upto[np.searchsorted(starts, at[1:])] - upto[0]) // 4
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.whole:
-            return self._ids(texts)
-        if self.special is not None:
-            marked = {i: self.special.split(t) for i, t in enumerate(texts) if self.special.search(t)}
-            if marked:
-                plain = iter(self._encode([t for i, t in enumerate(texts) if i not in marked]))
-                return [self._joined(marked[i]) if i in marked else next(plain) for i in range(len(texts))]
-        return self._encode(texts)
-
-    def _joined(self, parts: list[str]) -> bytes:
-        """The ids of a text parted at strings of added tokens, which are every other part."""
-        plain = self._encode(parts[::2])
-        marks = [self.added[p] for p in parts[1::2]]
-        return b"".join(x for pair in zip(plain, [*marks, b""], strict=True) for x in pair)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces(t, self.feed is not None) for t in texts]
-        self._learn(set().union(*(c[1:] for c in cut)))
-        known = self.young.__getitem__
-        heads = self._ids([c[0] for c in cut])
-        return [head + b"".join(map(known, c[1:])) for head, c in zip(heads, cut, strict=True)]
-
-
-def pieces(text: str, lines: bool = False) -> list[str]:
-    """``text`` cut at spaces, which are left out; no cut falls inside a word of the tokenizer.
-
-    With ``lines`` it is cut before line feeds, too, which stay: a piece that starts with one had no
-    space before it. White space next to other white space is never cut off from it.
-    """
-    if _RUN.search(text):
-        return (_CUT_LINES if lines else _CUT).split(text)
-    return (text.replace("\n", " \n") if lines else text).split(" ")
+        """The ids of each text as little-endian uint32."""
+        tokens, ends = self.tokens(pa.array(texts, pa.string()))
+        return [tokens[end - size : end].tobytes() for end, size in zip(ends, np.diff(ends, prepend=0), strict=True)]
+
+
+def _binaries(ids: list[np.ndarray], counts: np.ndarray) -> pa.Array:
+    """Arrays of ids, joined, as one value of bytes for each count."""
+    ends = np.concatenate(([0], np.cumsum(counts, dtype=np.int64))) * 4
+    data = np.concatenate(ids).astype("<u4", copy=False)
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
 
 
 @lru_cache(maxsize=1)
@@ -275,42 +353,51 @@ def _write(folder: str, name: str, data: bytes) -> None:
 
 
 def _writer(folder: str, tokenizer: str, end_id: int, file_tokens: int):
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        end = np.array([end_id], "<u4").tobytes()
         task, coder = TaskContext.get().partitionId(), encoder(tokenizer)
-        ids: list[int] = []
-        held: list[bytes] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         made = count = 0
 
-        def close() -> pd.DataFrame:
-            tokens = np.frombuffer(b"".join(held), "<u4")
-            starts = np.concatenate(([0], np.cumsum([len(h) // 4 for h in held])[:-1]))
+        def close() -> pa.RecordBatch:
+            ids, sizes, tokens = (np.concatenate(parts) for parts in zip(*held, strict=True))
             name = f"part-{task:06d}-{made:06d}.dac"
-            _write(folder, name, encode_file(ids, starts, tokens))
-            return pd.DataFrame([(name, ids[0], len(ids), len(tokens))], columns=["file", "first_id", "n_documents", "n_tokens"])
+            _write(folder, name, encode_file(ids, np.cumsum(sizes) - sizes, tokens))
+            row = {"file": name, "first_id": int(ids[0]), "n_documents": len(ids), "n_tokens": len(tokens)}
+            return pa.RecordBatch.from_pylist([row])
 
         for batch in batches:
             for part in _portions(batch):
-                for doc, found in zip(part.id.tolist(), coder.encode(part.text.tolist()), strict=True):
-                    ids.append(doc)
-                    held.append(found + end)
-                    count += len(held[-1]) // 4
+                ids = part.column("id").to_numpy()
+                tokens, ends = coder.tokens(part.column("text"))
+                tokens, ends = np.insert(tokens, ends, end_id), ends + np.arange(1, len(ends) + 1)
+                sizes = np.diff(ends, prepend=0)
+                first = start = 0
+                while first < len(ids):
+                    # A file is full with the document that reaches its size.
+                    last = min(int(np.searchsorted(ends, start + file_tokens - count)) + 1, len(ids))
+                    stop = int(ends[last - 1])
+                    held.append((ids[first:last], sizes[first:last], tokens[start:stop]))
+                    count += stop - start
+                    first, start = last, stop
                     if count >= file_tokens:
                         yield close()
-                        ids, held, count, made = [], [], 0, made + 1
-        if ids:
+                        held, count, made = [], 0, made + 1
+        if held:
             yield close()
 
     return write
 
 
-def _portions(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """The rows in portions of about three million characters, or one longer text."""
-    group = batch.text.str.len().cumsum() // _TOGETHER
-    for _, part in batch.groupby(group, sort=True):
-        yield part
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in portions of about ``_TOGETHER`` bytes of text, or one longer text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    group = np.cumsum(sizes, dtype=np.int64) // _TOGETHER
+    places = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(places[:-1], places[1:], strict=True):
+        if begin < end:
+            yield batch.slice(begin, end - begin)
 
 
 def write_tokens(
@@ -335,7 +422,7 @@ def write_tokens(
         .sortWithinPartitions("id", "hash", "text")
         .select("id", "text")
     )
-    files = ranges.mapInPandas(_writer(folder, tokenizer, end_id, file_tokens), MANIFEST)
+    files = ranges.mapInArrow(_writer(folder, tokenizer, end_id, file_tokens), MANIFEST)
     files.write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
