@@ -11,11 +11,11 @@ expected, give or take less than one, and never more than three times.
 Along a source, documents lie by size class, so that every part of the size distribution is
 sampled in proportion and the taken words come near the target. No task sees a whole source: the
 order is cut into cells (source, size class, block), the running total over cells comes from their
-counts, and within a cell from a window. All sums are exact integers.
+counts, and within a cell from a window over sizes and hashes of keys, without the texts. All sums are exact integers.
 
 Defined results: null text has size 0; a document of size 0 may be taken any of 0 to 3 times and
 adds nothing; a source of size 0 has target 0 and takes nothing; null is a source of its own;
-repeated rows are documents of their own; rows equal in every ordering column may swap places; an
+repeated rows are documents of their own; rows of equal source, size and key may swap places; an
 empty table gives an empty table; other columns are carried unchanged whatever their names.
 """
 
@@ -102,9 +102,10 @@ def mix(
 ) -> DataFrame:
     """One row per document: ``row`` (its columns), ``size``, ``source_size``, ``target``, ``copies``.
 
-    ``size`` may give the size where the text was not kept. Three passes read the rows: two sum up sizes
-    by source and cell, and only the last one moves rows, once, to their cells. What a source is given
-    comes to the rows by their cells, never by source.
+    ``size`` may give the size where the text was not kept. Two passes read the rows: the first stores source,
+    size and hash of the key, from which alone sums and places are found; the second moves the rows once, by
+    the hash, to their places. What a source is given comes by cells, never by source. A task that holds texts
+    holds its even share of all rows, whatever the sizes of sources and cells.
     """
     row = F.col("row")
     size = size if size is not None else F.size(words_of(text_of(row[text]))).cast("long")
@@ -113,14 +114,15 @@ def mix(
         size.alias("size"),
         F.when(row[source].isNull(), "n").otherwise(F.concat(F.lit("s"), row[source])).alias("source_key"),
         row[source].alias("source"),
-        row[key].alias("key"),
         F.md5(F.concat_ws(" ", F.lit(seed), row[key].cast("string"))).alias("hash"),
     )
-    targets = stored(source_targets(sized.drop("row"), seed), "targets")
+    narrow = stored(sized.drop("row"), "sizes")
+    targets = stored(source_targets(narrow, seed), "targets")
     n_all = targets.agg(F.max("n_all")).first()[0] or 0
     bits = "length(bin(size))"
     placed = (
-        sized.withColumn("class", F.expr(f"{bits} * 8 + (shiftright(size * 16, {bits}) & 7)"))
+        narrow.drop("source")
+        .withColumn("class", F.expr(f"{bits} * 8 + (shiftright(size * 16, {bits}) & 7)"))
         .withColumn(
             "block",
             F.expr(f"pmod(cast(conv(substr(hash, 9, 7), 16, 10) as bigint), 1 + {n_all} div {block_rows})"),
@@ -133,8 +135,23 @@ def mix(
     )
     starts = cells.select(*cell, F.coalesce(F.sum("n_cell").over(earlier), F.lit(0)).alias("start"))
     starts = stored(starts.join(targets.drop("n_all"), "source_key"), "cells")
-    order = W.partitionBy(*cell).orderBy("size", "hash", "key")
-    ranked = placed.join(starts, cell).withColumn("k", F.col("start") + F.row_number().over(order))
+    order = W.partitionBy(*cell).orderBy("size", "hash")
+    # Rows that are the same in these columns lie side by side; the rank is the place of the first.
+    same = ["source_key", "size", "hash"]
+    firsts = (
+        placed.join(starts, cell)
+        .withColumn("first", F.col("start") + F.rank().over(order))
+        .drop("class", "block", "start")
+        .dropDuplicates(same)
+    )
+    # Numbered before the join, rows are moved and sorted for both at once.
+    nth = F.row_number().over(W.partitionBy(*same).orderBy("hash"))
+    ranked = (
+        sized.drop("source")
+        .withColumn("nth", nth)
+        .join(firsts, same)
+        .withColumn("k", F.col("first") + F.col("nth") - 1)
+    )
     dec = "cast({} as decimal(38,0))"
     upto = "({} * num + shift) div den"
     copies = f"""if(den = 0, 0, cast({upto.format(dec.format("k"))} as bigint)

@@ -321,6 +321,31 @@ def test_taken_words_come_near_the_target(spark):
         assert abs(r.n - r.t) < 0.02 * r.t
 
 
+def test_texts_of_one_cell_are_dealt_over_tasks(spark):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        docs = spark.range(2000).selectExpr("id as doc_id", "'a' as source", "'one size of all' as text")
+        rows = mixing.mix(docs).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset(setting)
+    assert len(rows) == 2000 and len({r.size for r in rows}) == 1
+    assert max(Counter(r.task for r in rows).values()) < 1000
+
+
+def test_mix_takes_repeated_and_null_keys_evenly(spark):
+    rows = [(i % 3 or None, "ab"[i % 2], i, 5 if i % 7 else 9) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, place long, words long")
+    mixed = mixing.mix(df, text=None, size=F.col("row.words")).collect()
+    assert sorted(r.row.place for r in mixed) == list(range(600))
+    assert all(r.row.words == r.size for r in mixed)
+    for source in "ab":
+        own = [r for r in mixed if r.row.source == source]
+        rate = own[0].target / own[0].source_size
+        assert {r.copies for r in own} <= {int(rate), int(rate) + 1}
+        assert abs(sum(r.copies for r in own) - rate * len(own)) < 1.001
+
+
 def test_shards_are_exact_and_random(docs, empty):
     found = sharding.shard_rows(docs, shards=4).collect()
     counts = Counter(r["shard"] for r in found)
