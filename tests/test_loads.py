@@ -2,9 +2,11 @@
 
 import json
 import threading
+import time
 
 from pyspark.sql import functions as F
 
+from orderflow.plans import catalog
 from orderflow.sinks import keyindex, tables
 from orderflow.sinks.claims import create_new
 
@@ -97,3 +99,121 @@ def test_tables_of_earlier_versions_are_added_to(spark, listing, tmp_path):
     log = tables.published_log(spark, str(root))
     assert [row.compacted for row in log] == [None, False, True, True]
     assert tables.load_listing(staging, str(root), "e").rows["metrics"] == 0
+
+
+def test_a_load_in_slices_adds_the_same(spark, listing, tmp_path):
+    first = [{}, {}, {"phone": "2"}, {"rate": "NEW"}, {"city": "South"}, {"name": None}, {"menu_item": None}]
+    first.append({"votes": "1 20"})
+    second = [*first, *first, {"name": "B"}, {"cuisines": None}, {"cuisines": None}]
+    found = []
+    for rows in (1000, 3):
+        root = str(tmp_path / f"{rows}")
+        for run, staging in {"a": listing(*first), "b": listing(*second), "c": listing(*second)}.items():
+            found.append(tables.load_listing(staging, root, run, slice_rows=rows).rows)
+        for table, (key, _) in tables.TABLES.items():
+            stored = tables.read_table(spark, root, table)
+            assert stored.columns == tables.TABLES[table][1].fieldNames()
+            found.append(sorted(map(str, stored.collect())))
+            assert stored.select(key).distinct().count() == len(found[-1])
+    assert found[:6] == found[6:]
+    assert [r["metrics"] for r in found[:3]] == [13, 18, 0]
+
+
+def test_many_copies_are_known_by_number(spark, listing, tmp_path):
+    """A hot row: one key in the index for all its copies, laid out by many tasks."""
+    copies = spark.range(10_000).crossJoin(listing({})).drop("id")
+    hot = copies.unionByName(listing({"phone": "2"}))
+    root, some = str(tmp_path), listing({}, {"name": "B"}, {"name": "B"})
+    for match in ("venue", "exact"):
+        at = f"{root}/{match}"
+        assert tables.load_listing(some, at, "a", match).rows["metrics"] == 3
+        added = tables.load_listing(hot, at, "b", match).rows["metrics"]
+        assert added == (20_001 if match == "venue" else 10_000)
+        more = tables.load_listing(hot.unionByName(some), at, "c", match, compact_after=2).rows["metrics"]
+        assert more == (2 if match == "venue" else 1)
+        assert tables.load_listing(hot.unionByName(some), at, "d", match).rows["metrics"] == 0
+        stored = tables.read_table(spark, at, "metrics")
+        assert stored.select("metric_id").distinct().count() == stored.count()
+        log = tables.published_log(spark, at)
+        assert [row.compacted for row in log] == [False, False, True, False]
+        with keyindex.Index(spark) as index:
+            known = index.read(f"{at}/{log[2].folder}/keys/metrics", log[2].buckets)
+            # The hot row, that of B, and that of the other phone.
+            assert known.count() == 3
+            assert known.agg(F.sum("copies")).first()[0] == stored.count()
+        written = spark.read.parquet(f"{at}/{log[1].folder}/metrics")
+        sizes = written.groupBy(F.input_file_name()).count().collect()
+        assert len(sizes) > 1 and max(r["count"] for r in sizes) < written.count()
+
+
+def test_indexes_of_keys_alone_are_added_to(spark, listing, tmp_path):
+    """Loads of the version before: an index of every copy's own key, no numbers."""
+    root, staging = str(tmp_path), listing({}, {}, {}, {"name": "A"})
+    tables.load_listing(staging, root, "a", buckets=4)
+    (row,) = tables.published_log(spark, root)
+    for table, (key, schema) in tables.TABLES.items():
+        keys = spark.read.schema(schema).parquet(f"{root}/{row.folder}/{table}").select(F.col(key).alias("key"))
+        keys.write.mode("overwrite").parquet(f"{root}/{row.folder}/keys/{table}")
+    (file,) = (tmp_path / "published").iterdir()
+    record = json.loads(file.read_text())
+    del record["counted"]
+    file.write_text(json.dumps(record) + "\n")
+    (tmp_path / "published" / f".{file.name}.crc").unlink(missing_ok=True)
+    assert tables.load_listing(staging, root, "b").rows == {"locations": 0, "restaurants": 0, "metrics": 0}
+    more = staging.unionByName(listing({}, {}, {"name": "B"}))
+    assert tables.load_listing(more, root, "c", compact_after=1).rows["metrics"] == 3
+    assert tables.load_listing(more, root, "d").rows["metrics"] == 0
+    assert {row.buckets for row in tables.published_log(spark, root)} == {4}
+
+
+def test_keys_moved_as_bytes_meet_the_index_without_another_shuffle(spark, listing, tmp_path):
+    root = str(tmp_path)
+    tables.load_listing(listing({}, {"name": "A"}), root, "a", buckets=8)
+    (row,) = tables.published_log(spark, root)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with keyindex.Index(spark) as index:
+            known = index.read(f"{root}/{row.folder}/keys/metrics", row.buckets)
+            rows = tables.read_table(spark, root, "metrics").select(F.col("metric_id").alias("key"), "menu_item")
+            joined = keyindex.dealt_by_key(rows, row.buckets).join(known, "key")
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 8 out of 8" in plan, plan
+            assert joined.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_shuffle_files_go_with_the_step(spark, listing, tmp_path):
+    """They do not wait until the driver collects garbage, and the setting is put back."""
+
+    def files():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = manager.getAllFiles().mkString("\n").split("\n")
+        return {name for name in names if "/shuffle_" in name}
+
+    before, setting = files(), spark.conf.get(tables._CLEANUP)
+    for run in "ab":
+        tables.load_listing(listing({}, {"phone": "2"}, {"name": "A"}), str(tmp_path), run)
+    until = time.monotonic() + 20
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(tables._CLEANUP) == setting
+    with tables.shuffles_released(spark):
+        with tables.shuffles_released(spark):
+            assert spark.conf.get(tables._CLEANUP) == "true"
+        assert spark.conf.get(tables._CLEANUP) == "true"
+    assert spark.conf.get(tables._CLEANUP) == setting
+
+
+def test_load_twice_reads_the_stored_listing(spark, sf_dir, monkeypatch):
+    read, load = [], catalog.load_listing
+
+    def noted(rows, *args):
+        read.append(rows.inputFiles())
+        return load(rows, *args)
+
+    monkeypatch.setattr(catalog, "load_listing", noted)
+    catalog.load_twice(spark, sf_dir)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert len(read) == 2 and all(files and all(f"{shared}/staging-" in f for f in files) for files in read)
